@@ -86,7 +86,7 @@ EVENT = {
     "key": "cast(event_id as string)",
     "id": "concat('rest_', cast(user_id as string))",
     "name": "concat('Place ', cast(user_id as string))",
-    "rating": "floor(value / 2.0) / 10.0 - 0.5",
+    "rating": "cast(floor(value / 2e0) as double) / 10e0 - 5e-1",
     "data_source": "event_type",
     "formatted_address": (
         "case when event_id % 11 = 0 then null else concat(cast(user_id as string), ' Oak Ave, Town ', "
