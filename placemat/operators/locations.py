@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from placemat.operators.lookup import spread_join
 from placemat.operators.ranking import global_row_number
 
 # Records per request and search radius in metres by priority, in processing order.
@@ -89,12 +90,12 @@ def add_locations(locations: DataFrame, new: DataFrame, order: Sequence[str] = (
         default = F.lit(value)
         filled = filled.withColumn(name, F.coalesce(F.col(name), default) if name in new.columns else default)
     first = F.row_number().over(Window.partitionBy("name").orderBy(*order))
-    novel = filled.join(locations.select("name"), "name", "left_anti").withColumn("_first", first)
+    novel = spread_join(filled, locations.select("name"), "name", "left_anti").withColumn("_first", first)
     return locations.unionByName(novel.where("_first = 1").drop("_first"), allowMissingColumns=True)
 
 
 def remove_locations(locations: DataFrame, names: DataFrame) -> DataFrame:
-    return locations.join(names.select("name"), "name", "left_anti")
+    return spread_join(locations, names.select("name"), "name", "left_anti")
 
 
 def set_enabled(locations: DataFrame, names: DataFrame, enabled: bool) -> DataFrame:
@@ -102,4 +103,4 @@ def set_enabled(locations: DataFrame, names: DataFrame, enabled: bool) -> DataFr
     named = names.select("name").distinct().withColumn("_named", F.lit(True))
     switched = F.when(F.col("_named"), F.lit(enabled)).otherwise(F.col("enabled"))
     columns = locations.columns
-    return locations.join(named, "name", "left").withColumn("enabled", switched).select(*columns)
+    return spread_join(locations, named, "name").withColumn("enabled", switched).select(*columns)

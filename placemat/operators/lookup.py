@@ -6,20 +6,21 @@ threshold and otherwise sorts and merges, splitting skewed keys at run time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NULL_SPREAD = 1024
 
 
-def lookup(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """Left join on ``key`` that keeps rows with a null key from gathering in one task.
+def spread_join(df: DataFrame, table: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Left or anti join on ``key`` that keeps rows with a null key from gathering in one task.
 
     Such rows match nothing, so a second join column that only they vary spreads them out.
     """
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(NULL_SPREAD)).cast("int")
+    hashable = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t]
+    spread = F.pmod(F.xxhash64(*hashable), F.lit(NULL_SPREAD)).cast("int")
     left = df.withColumn("_spread", F.when(F.col(key).isNull(), spread).otherwise(0))
-    return left.join(table.withColumn("_spread", F.lit(0)), [key, "_spread"], "left").drop("_spread")
+    return left.join(table.withColumn("_spread", F.lit(0)), [key, "_spread"], how).drop("_spread")
 
 
 def attach_coordinates(df: DataFrame, locations: DataFrame, on: str = "search_location") -> DataFrame:
@@ -27,17 +28,17 @@ def attach_coordinates(df: DataFrame, locations: DataFrame, on: str = "search_lo
     known = locations.select(
         F.col("name").alias(on), F.col("coordinates.lat").alias("lat"), F.col("coordinates.lng").alias("lng")
     )
-    return lookup(df, known, on)
+    return spread_join(df, known, on)
 
 
 def attach_details(df: DataFrame, details: DataFrame, key: str = "id") -> DataFrame:
-    return lookup(df, details, key)
+    return spread_join(df, details, key)
 
 
 def prefer_source(primary: DataFrame, fallback: DataFrame, key: str = "search_location") -> DataFrame:
     """Rows of ``primary``, and of ``fallback`` only where ``primary`` has none for the key."""
     served = primary.select(key).distinct()
-    return primary.unionByName(fallback.join(served, key, "left_anti"))
+    return primary.unionByName(spread_join(fallback, served, key, "left_anti"))
 
 
 def attach_parent_key(parents: DataFrame, parent_id: str, children: str = "reviews") -> DataFrame:
@@ -50,10 +51,6 @@ def attach_parent_key(parents: DataFrame, parent_id: str, children: str = "revie
 def validate_locations(df: DataFrame, locations: DataFrame, on: str = "name") -> DataFrame:
     """Add ``is_valid``: the name exists and is enabled."""
     enabled = locations.where("enabled").select(F.col("name").alias(on)).distinct()
-    flagged = lookup(df, enabled.withColumn("_found", F.lit(True)), on)
+    flagged = spread_join(df, enabled.withColumn("_found", F.lit(True)), on)
     return flagged.withColumn("is_valid", F.col("_found").isNotNull()).drop("_found")
 
-
-def listed(name: Column, names: list[str]) -> Column:
-    """Membership in a short literal list, false for null."""
-    return F.coalesce(name.isin(names), F.lit(False))

@@ -4,57 +4,62 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placemat.schema import REQUIRED_COLUMNS
+from placemat.scratch import stage
 
 
-def _distinct_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Distinct rows with how often each occurs; equal rows are merged before the shuffle."""
-    return df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count("*").alias("_copies"))
+def _repeated_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows that occur more than once, with the number of copies; null equals null.
+
+    Only an eight-byte hash per row is shuffled at first. The hashes seen more than once are
+    written out, so Spark knows their size when it looks them up and broadcasts them only if
+    they are few, and the whole rows behind them are then compared exactly.
+    """
+    row = [F.col(f"`{c}`") for c in columns]
+    hashed = df.select(*row).withColumn("_hash", F.xxhash64(*row))
+    seen = hashed.groupBy("_hash").agg(F.count("*").alias("_rows")).where("_rows > 1").select("_hash")
+    suspects = hashed.join(stage(seen, "hashes"), "_hash", "left_semi")
+    return suspects.groupBy(*row).agg(F.count("*").alias("_copies")).where("_copies > 1")
 
 
 def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows beyond the first of each set of equal rows; null equals null."""
-    copies = _distinct_rows(df, columns or df.columns)
+    """Rows beyond the first of each set of equal rows."""
+    copies = _repeated_rows(df, columns or df.columns)
     return copies.agg(F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_records"))
 
 
+def _entry(metric: str, column: str | None, value: Column) -> Column:
+    return F.struct(
+        F.lit(metric).alias("metric"),
+        F.lit(column).cast("string").alias("column"),
+        value.cast("string").alias("value"),
+    )
+
+
 def quality_metrics(df: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
     """The quality report as (metric, column, value) rows of text.
 
-    Rows, nulls per column and duplicates come out of one grouping of the data. A frame without
-    rows yields the single row (status, null, error).
+    A frame without rows yields the single row (status, null, error).
     """
     names = df.columns
-    copies = _distinct_rows(df, names)
-    sums = copies.agg(
-        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"),
-        *[
-            F.sum(F.when(F.col(f"`{c}`").isNull(), F.col("_copies")).otherwise(0)).alias(f"_null_{i}")
-            for i, c in enumerate(names)
-        ],
-    )
-
-    def entry(metric: str, column: str | None, value) -> F.Column:
-        return F.struct(
-            F.lit(metric).alias("metric"),
-            F.lit(column).cast("string").alias("column"),
-            value.cast("string").alias("value"),
-        )
-
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"_null_{i}") for i, c in enumerate(names)]
     report = [
-        entry("total_records", None, F.col("rows")),
-        entry("total_columns", None, F.lit(len(names))),
-        entry("duplicate_records", None, F.col("duplicates")),
-        *[entry("missing_values", c, F.col(f"_null_{i}")) for i, c in enumerate(names)],
-        *[entry("data_type", c, F.lit(t)) for c, t in df.dtypes],
-        *[entry("missing_required_column", c, F.lit("missing")) for c in required if c not in names],
+        _entry("total_records", None, F.col("_rows")),
+        _entry("total_columns", None, F.lit(len(names))),
+        _entry("duplicate_records", None, F.col("duplicate_records")),
+        *[_entry("missing_values", c, F.col(f"_null_{i}")) for i, c in enumerate(names)],
+        *[_entry("data_type", c, F.lit(t)) for c, t in df.dtypes],
+        *[_entry("missing_required_column", c, F.lit("missing")) for c in required if c not in names],
     ]
-    empty = F.array(entry("status", None, F.lit("error")))
-    return sums.select(F.inline(F.when(F.col("rows") == 0, empty).otherwise(F.array(*report))))
+    empty = F.array(_entry("status", None, F.lit("error")))
+    counted = df.agg(F.count("*").alias("_rows"), *nulls)
+    # Two rows, one from each measurement, folded into one.
+    measured = counted.unionByName(duplicate_count(df), allowMissingColumns=True)
+    folded = measured.agg(*[F.max(c).alias(c) for c in measured.columns])
+    return folded.select(F.inline(F.when(F.col("_rows") == 0, empty).otherwise(F.array(*report))))
 
 
 def test_not_null(df: DataFrame, column: str) -> DataFrame:
