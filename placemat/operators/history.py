@@ -22,24 +22,22 @@ def with_neighbour(
     """Add ``name``: a struct of ``columns`` of the previous (or next) row of the same key.
 
     It equals ``lag``/``lead`` over (partition by key order by order), null at the ends, but a
-    key may span any number of tasks: the window runs inside (part, key), and one edge row per
-    part, at most ``parts`` in all, carries the value across the part boundary.
+    key may span any number of tasks. Rows are laid out so that the wanted neighbour comes next;
+    the window runs inside (part, key), and the first row of each part, at most ``parts`` in
+    all, is handed to the part before it.
     """
-    laid_out = range_parts(df, [key, *order], parts)
+    laid_out = range_parts(df, [key, *order], parts, descending=not ahead)
     values = F.struct(*columns)
-    step = F.lead if ahead else F.lag
     inside = Window.partitionBy(PART, key).orderBy(POSITION)
-    nearest = F.min_by if ahead else F.max_by
-    edges = laid_out.groupBy(PART).agg(
-        nearest(F.struct(F.col(key).alias("key"), values.alias("values")), F.col(POSITION)).alias("edge")
-    )
-    edges = edges.select(PART, step("edge").over(Window.orderBy(PART)).alias("_edge"))
-    across = F.when(F.col("_edge.key").eqNullSafe(F.col(key)), F.col("_edge.values"))
+    first = F.struct(F.col(key).alias("key"), values.alias("values")).alias("_first")
+    firsts = laid_out.where(F.col(POSITION) == 0).select(PART, first)
+    edges = firsts.select(PART, F.lead("_first").over(Window.orderBy(PART)).alias("_edge"))
+    across = F.when(F.col("_edge").isNotNull() & F.col("_edge.key").eqNullSafe(F.col(key)), F.col("_edge.values"))
     return (
-        laid_out.withColumn(name, step(values).over(inside))
+        laid_out.withColumn("_inside", F.lead(values).over(inside))
         .join(F.broadcast(edges), PART)
-        .withColumn(name, F.coalesce(name, F.when(F.col("_edge").isNotNull(), across)))
-        .drop(PART, POSITION, "_edge")
+        .withColumn(name, F.coalesce("_inside", across))
+        .drop(PART, POSITION, "_edge", "_inside")
     )
 
 

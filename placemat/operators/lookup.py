@@ -15,12 +15,15 @@ NULL_SPREAD = 1024
 def spread_join(df: DataFrame, table: DataFrame, key: str, how: str = "left") -> DataFrame:
     """Left or anti join on ``key`` that keeps rows with a null key from gathering in one task.
 
-    Such rows match nothing, so a second join column that only they vary spreads them out.
+    A second join column is a row hash modulo the number of ways to spread a key: one for a
+    real key, many for null, which matches nothing. It must depend on a column on both sides,
+    as Spark would fold a constant out of the join and of the partitioning.
     """
     hashable = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t]
-    spread = F.pmod(F.xxhash64(*hashable), F.lit(NULL_SPREAD)).cast("int")
-    left = df.withColumn("_spread", F.when(F.col(key).isNull(), spread).otherwise(0))
-    return left.join(table.withColumn("_spread", F.lit(0)), [key, "_spread"], how).drop("_spread")
+    ways = F.when(F.col(key).isNull(), NULL_SPREAD).otherwise(1)
+    left = df.withColumn("_spread", F.pmod(F.xxhash64(*hashable), ways))
+    right = table.withColumn("_spread", F.pmod(F.xxhash64(key), F.lit(1)))
+    return left.join(right, [key, "_spread"], how).drop("_spread")
 
 
 def attach_coordinates(df: DataFrame, locations: DataFrame, on: str = "search_location") -> DataFrame:

@@ -14,7 +14,9 @@ POSITION = "_position"
 ROWS_PER_PART_BITS = 33  # layout of monotonically_increasing_id: partition id above, position below
 
 
-def range_parts(df: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
+def range_parts(
+    df: DataFrame, order: Sequence[str], parts: int | None = None, descending: bool = False
+) -> DataFrame:
     """``df`` range-partitioned and sorted by ``order``, with part number and position in the part.
 
     The range bounds are sampled, so the layout is written out once and read back: every later
@@ -23,7 +25,7 @@ def range_parts(df: DataFrame, order: Sequence[str], parts: int | None = None) -
     """
     if parts is None:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [F.col(c).asc_nulls_first() for c in order]
+    keys = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order]
     row = F.monotonically_increasing_id()
     laid_out = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("_row", row)
     return stage(
@@ -67,8 +69,11 @@ def surrogate_id(
     """``id``, or ``unknown_<row number over all rows>`` where the id is null.
 
     ``key`` is a unique column. All rows are numbered, but only the order columns are moved for
-    it, and only the rows without an id take part in the join that brings the number back.
+    it, and only the rows without an id take part in the join that brings the number back. When
+    no id is missing nothing is numbered.
     """
+    if df.where(F.col("id").isNull()).isEmpty():
+        return df.withColumn(name, F.col("id"))
     narrow = df.select(*dict.fromkeys([*order, key]), F.col("id").isNull().alias("_unnamed"))
     numbered = global_row_number(narrow, order, "_number", parts).where("_unnamed")
     given = numbered.select(key, F.concat(F.lit("unknown_"), F.col("_number").cast("string")).alias(name))

@@ -40,12 +40,14 @@ def histogram(df: DataFrame, column: str = "rating", bins: int = 20, lo: float =
 def kpis(df: DataFrame, predicate: Column) -> DataFrame:
     """Headline numbers of the rows that pass, each with its difference from all rows, in one pass."""
 
+    flagged = df.select(predicate.alias("_in"), "rating", F.col("review_count").cast("bigint").alias("reviews"))
+    rating, reviews = F.col("rating"), F.col("reviews")
+
     def chosen(value: Column) -> Column:
-        return F.when(predicate, value)
+        return F.when(F.col("_in"), value)
 
-    rating, reviews = F.col("rating"), F.col("review_count").cast("bigint")
-    sums = df.agg(
-        F.count_if(predicate).alias("total"),
+    sums = flagged.agg(
+        F.count_if("_in").alias("total"),
         F.count("*").alias("_all"),
         F.avg(chosen(rating)).alias("avg_rating"),
         F.avg(rating).alias("_avg"),

@@ -12,9 +12,17 @@ def con(small):
     return compare.connect(small)
 
 
+# Nodes that would mean row-by-row Python or all pairs of rows.
+UNWANTED = (
+    "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "CartesianProduct", "BroadcastNestedLoopJoin",
+)
+
+
 @pytest.mark.parametrize("name", [n for n, q in QUERIES.items() if q.sql is not None])
 def test_matches_sql(spark, small, con, name):
     found = QUERIES[name].build(spark, small)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert [node for node in UNWANTED if node in plan] == []
     assert compare.differences(found, con, QUERIES[name].sql) == []
 
 
