@@ -30,13 +30,12 @@ def day(as_of: Column | date | str | None = None) -> Column:
 def clamp_rating(c: Column, lo: float = 0, hi: float = 5) -> Column:
     """Rating forced into [lo, hi]. Null stays null; NaN and unreadable text count as null."""
     number = c.try_cast("double")
-    number = F.when(~F.isnan(number), number)
-    return F.when(number < lo, F.lit(float(lo))).when(number > hi, F.lit(float(hi))).otherwise(number)
+    return F.when(number <= float("inf"), F.least(F.greatest(number, F.lit(float(lo))), F.lit(float(hi))))
 
 
 def clamp_rating_filled(c: Column, lo: float = 0, hi: float = 5) -> Column:
     """Variant that fills a missing rating with zero before clamping."""
-    return clamp_rating(F.coalesce(clamp_rating(c, float("-inf"), float("inf")), F.lit(0.0)), lo, hi)
+    return F.coalesce(clamp_rating(c, lo, hi), clamp_rating(F.lit(0.0), lo, hi))
 
 
 def standardize_source(c: Column) -> Column:

@@ -7,14 +7,13 @@ from datetime import datetime
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from placemat.functions.clean import moment
 from placemat.operators.combine import combine_sources
 from placemat.operators.quality import quality_metrics
 from placemat.operators.shape import canonicalize, flatten_listings
 from placemat.operators.stats import ingest_stats, run_summary
 from placemat.plans.models import classify
-from placemat.functions.clean import moment
 from placemat.sinks.tables import write_overwrite
 
 
@@ -26,8 +25,7 @@ class Feed(NamedTuple):
     mapping: Mapping[str, str]
 
 
-class Run(NamedTuple):
-    table: DataFrame
+class Reports(NamedTuple):
     quality: DataFrame
     per_location: DataFrame
     summary: DataFrame
@@ -49,20 +47,18 @@ def build_listings(
 def run_batch(
     spark: SparkSession,
     feeds: list[Feed],
-    locations: DataFrame,
     table: str,
     path: str | None = None,
     at: Column | datetime | None = None,
-) -> Run:
-    """Write the combined listings once; the reports read the written table.
+) -> DataFrame:
+    """Write the combined listings and return the written table.
 
     Feed records carry ``search_location``, the location they were fetched for.
     """
-    written = write_overwrite(build_listings(spark, feeds, at, ("search_location",)), table, path)
-    named = written.withColumnRenamed("restaurant_name", "name")
-    return Run(
-        table=written,
-        quality=quality_metrics(named.drop("search_location")),
-        per_location=ingest_stats(written, locations),
-        summary=run_summary(written.where(F.col("search_location").isNotNull())),
-    )
+    return write_overwrite(build_listings(spark, feeds, at, ("search_location",)), table, path)
+
+
+def run_reports(table: DataFrame, locations: DataFrame) -> Reports:
+    """Reports of a run, from the written table rather than from the feeds again."""
+    named = table.withColumnRenamed("restaurant_name", "name").drop("search_location")
+    return Reports(quality_metrics(named), ingest_stats(table, locations), run_summary(table))

@@ -333,16 +333,29 @@ COMBINED_SQL = f"""SELECT id, trim(name) AS restaurant_name, least(greatest(rati
         FROM ({COMBINED_SQL}) AS c""",
 )
 def e1(spark, sf):
-    return batch.run_batch(
-        spark, feed_list(spark, sf), locations(spark, sf), "e1_listings", fresh_path(spark, "e1"), at()
-    ).table
+    return batch.run_batch(spark, feed_list(spark, sf), "e1_listings", fresh_path(spark, "e1"), at())
 
 
-@query(
-    "e1_batch_per_location",
-    f"""WITH raw AS ({COMBINED_SQL}), {S.LOCATIONS} {INGEST_SQL}""",
-)
+REPORTS_SQL = f"""WITH raw AS ({COMBINED_SQL}), {S.LOCATIONS}, per_location AS ({INGEST_SQL})
+  SELECT 'records' AS metric, cast(null as varchar) AS name, count(*) AS value FROM raw
+  UNION ALL SELECT 'locations', null, count(DISTINCT search_location) FROM raw
+  UNION ALL SELECT 'sources', 'google_places,yelp', 2
+  UNION ALL SELECT 'yelp_records', search_location, yelp_records FROM per_location
+  UNION ALL SELECT 'missing_values', 'name', count(*) FILTER (restaurant_name IS NULL) FROM raw
+  UNION ALL SELECT 'missing_values', 'rating', count(*) FILTER (rating IS NULL) FROM raw
+  UNION ALL SELECT 'duplicate_records', null, 0"""
+
+
+@query("e1_batch_reports", REPORTS_SQL)
 def e1_reports(spark, sf):
-    return batch.run_batch(
-        spark, feed_list(spark, sf), locations(spark, sf), "e1_listings_reported", fresh_path(spark, "e1"), at()
-    ).per_location
+    table = batch.run_batch(spark, feed_list(spark, sf), "e1_listings_reported", fresh_path(spark, "e1"), at())
+    reports = batch.run_reports(table, locations(spark, sf))
+    wanted = "metric = 'duplicate_records' or (metric = 'missing_values' and `column` in ('name', 'rating'))"
+    quality = reports.quality.where(wanted).selectExpr("metric", "`column` AS name", "cast(value as bigint) AS value")
+    summary = reports.summary.selectExpr(
+        "stack(3, 'records', cast(null as string), records_processed, "
+        "'locations', cast(null as string), locations_processed, "
+        "'sources', concat_ws(',', sources_used), cast(total_sources as bigint)) AS (metric, name, value)"
+    )
+    located = reports.per_location.selectExpr("'yelp_records' AS metric", "search_location AS name", "yelp_records AS value")
+    return quality.unionByName(summary).unionByName(located)
