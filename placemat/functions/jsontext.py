@@ -19,11 +19,18 @@ def _escape_char(c: Column) -> Column:
     return F.when(code < 128, c).when(code < 0x10000, unit(code)).otherwise(F.concat(unit(high), unit(low)))
 
 
+# Printable ASCII without the quote and the backslash needs no escaping.
+PLAIN = r"\A[ !#-\[\]-~]*\z"
+
+
 def _string(c: Column) -> Column:
-    wrapped = F.to_json(F.array(c))
-    quoted = wrapped.substr(F.lit(2), F.length(wrapped) - 2)
-    escaped = F.array_join(F.transform(F.split(quoted, ""), _escape_char), "")
-    return F.when(quoted.rlike(r"[^\x00-\x7F]"), escaped).otherwise(quoted)
+    def escaped(wrapped: Column) -> Column:
+        quoted = wrapped.substr(F.lit(2), F.length(wrapped) - 2)
+        return F.array_join(F.transform(F.split(quoted, ""), _escape_char), "")
+
+    # The array of one binds the encoded text, so it is made once.
+    slow = F.element_at(F.transform(F.array(F.to_json(F.array(c))), escaped), 1)
+    return F.when(c.rlike(PLAIN), F.concat(F.lit('"'), c, F.lit('"'))).when(c.isNotNull(), slow)
 
 
 def json_text(c: Column, dtype: T.DataType) -> Column:

@@ -155,6 +155,12 @@ def test_json_text_of_any_strings(spark, texts):
     assert got == [json.dumps(texts)]
 
 
+def test_json_text_of_control_characters(spark):
+    texts = ["a\n", "\n", "tab\tend\r\n", "\b\f", "back\\slash", '"', "é\n", "😀", ""]
+    got = column(spark, [texts], "array<string>", lambda c: json_text(c, T.ArrayType(T.StringType())))
+    assert got == [json.dumps(texts)]
+
+
 def test_json_text_of_structs(spark):
     dtype = T.ArrayType(T.StructType.fromDDL("alias string, n int, ok boolean, in_ struct<x:double>"))
     value = [{"alias": 'a"b\n', "n": 1, "ok": True, "in_": {"x": 1.5}}, {"alias": None, "n": None, "ok": False, "in_": None}, None]
