@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from placemat.operators.lookup import spread_join
 from placemat.operators.ranking import PART, POSITION, range_parts
 
 
@@ -59,14 +60,16 @@ def snapshot_merge(history: DataFrame, current: DataFrame, key: str, updated_at:
     """
     incoming = current.select(F.col(key), F.col(updated_at).alias("_incoming"))
     newer = F.col("valid_to").isNull() & (F.col("_incoming") > F.col(updated_at))
-    closed = history.join(incoming, key, "left").withColumn(
+    closed = spread_join(history, incoming, key).withColumn(
         "valid_to", F.when(newer, F.col("_incoming")).otherwise(F.col("valid_to"))
     )
     open_now = history.where("valid_to is null").select(F.col(key), F.col(updated_at).alias("_open"))
     fresh = (
-        current.join(open_now, key, "left")
+        spread_join(current, open_now, key)
         .where(F.col("_open").isNull() | (F.col(updated_at) > F.col("_open")))
-        .withColumns({"valid_from": F.col(updated_at), "valid_to": F.lit(None).cast(current.schema[updated_at].dataType)})
+        .withColumns(
+            {"valid_from": F.col(updated_at), "valid_to": F.lit(None).cast(current.schema[updated_at].dataType)}
+        )
     )
     return closed.drop("_incoming").unionByName(fresh.drop("_open"))
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placemat.schema import REQUIRED_COLUMNS
+from placemat.schema import FEEDS, REQUIRED_COLUMNS
 from placemat.scratch import stage
 
 
@@ -96,3 +96,18 @@ def test_summary(df: DataFrame, not_null: Sequence[str], ranges: dict[str, tuple
         for i, (test, c, _) in enumerate(checks)
     ]
     return sums.select(F.inline(F.array(*rows)))
+
+
+def listing_tests(df: DataFrame) -> dict[str, DataFrame]:
+    """The data tests of the raw listing table, each with its failing rows.
+
+    Every column below must be filled, ids must be unique, ratings must lie in [0, 5] and the
+    source must be a known feed.
+    """
+    filled = ("id", "name", "rating", "data_source", "ingestion_timestamp")
+    return {
+        **{f"not_null_{c}": test_not_null(df, c) for c in filled},
+        "unique_id": test_unique(df, "id"),
+        "accepted_range_rating": test_accepted_range(df, "rating", 0, 5),
+        "accepted_values_data_source": test_accepted_values(df, "data_source", FEEDS),
+    }

@@ -187,6 +187,24 @@ def s10(spark, sf):
     return files.read_seed_csv(spark, path).withColumn("rating", F.col("rating").cast("double"))
 
 
+@query(
+    "p32_flatten_place_reviews",
+    f"""SELECT concat('d_', cast(doc_id as varchar)) AS place_id, doc_id AS review, lang AS author_lang, text,
+          {S.AT} AS ingestion_timestamp, 'google_places' AS data_source FROM documents WHERE doc_id % 6 <> 0""",
+)
+def p32_places(spark, sf):
+    documents = table_of(spark, sf, "documents")
+    review = F.struct(F.col("doc_id").alias("review"), F.struct("lang").alias("author"), "text")
+    responses = documents.select(
+        F.concat(F.lit("d_"), F.col("doc_id").cast("string")).alias("place_id"),
+        F.when(F.col("doc_id") % 6 == 0, "NOT_FOUND").otherwise("OK").alias("status"),
+        F.struct(F.array(review).alias("reviews")).alias("result"),
+    )
+    detail = "reviews array<struct<review:bigint,author:struct<lang:string>,text:string>>"
+    details = files.read_details_json(spark, land(responses, "json", "place-reviews"), detail)
+    return shape.flatten_reviews(lookup.attach_parent_key(details, "place_id"), "google_places", at())
+
+
 # Lookups
 
 @query(

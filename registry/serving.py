@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placemat.operators import features, filters, geo, quality, ranking, stats
-from placemat.plans import models
+from placemat.plans import models, warehouse
+from placemat.schema import DIMENSION_COLUMNS
 from placemat.scratch import fresh_path
 from placemat.sinks import tables
 from registry import sql as S
 from registry.cleaning import STAR_RATING, rated
 from registry.core import query
-from registry.inputs import at, centres, places, raw_listings
+from registry.inputs import at, canonical_listings, centres, places, raw_listings
 
 
 def cleaned_raw(spark, sf):
@@ -288,6 +292,26 @@ def d_summary(spark, sf):
     return quality.test_summary(tested(spark, sf), ["id", "name"], {"rating": (0, 5)})
 
 
+FAILING = {
+    **{f"not_null_{c}": f"raw WHERE {c} IS NULL" for c in LISTED if c != "row_key"},
+    "accepted_range_rating": "raw WHERE rating NOT BETWEEN 0 AND 5",
+    "unique_id": "(SELECT id FROM raw WHERE id IS NOT NULL GROUP BY id HAVING count(*) > 1) AS u",
+    "accepted_values_data_source": (
+        "(SELECT DISTINCT data_source FROM raw WHERE data_source NOT IN ('yelp', 'google_places')) AS v"
+    ),
+}
+
+
+@query(
+    "e3_stored_test_failures",
+    S.over_raw(" UNION ALL ".join(f"SELECT '{t}' AS test, count(*) AS failures FROM {rows}" for t, rows in FAILING.items())),
+)
+def e3_tests(spark, sf):
+    stored = warehouse.run_tests(tested(spark, sf), fresh_path(spark, "e3-tests"))
+    counts = [t.agg(F.count("*").alias("failures")).select(F.lit(n).alias("test"), "failures") for n, t in stored.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # Ranking
 
 @query(
@@ -439,3 +463,29 @@ def h1(spark, sf):
 def serving_limit(spark, sf):
     """The detail view over the 500 rows the serving reports fetch."""
     return models.detail_projection(ranking.serving_top(models.serving_projection(rated(spark, sf), "row_key"), 500))
+
+
+@query(
+    "e4_kpis_of_top",
+    S.over_cleaned(
+        f""", top AS (SELECT * FROM cleaned ORDER BY rating DESC NULLS LAST, review_count DESC, row_key LIMIT 500)
+            SELECT count(*) FILTER ({CHOICE_SQL}) AS total, count(*) FILTER ({CHOICE_SQL}) - count(*) AS total_delta,
+              round(avg(rating) FILTER ({CHOICE_SQL}), 6) AS avg_rating,
+              cast(coalesce(sum(review_count) FILTER ({CHOICE_SQL}), 0) as bigint) AS total_reviews,
+              max(rating) FILTER ({CHOICE_SQL}) AS max_rating
+            FROM top"""
+    ),
+)
+def kpis_of_top(spark, sf):
+    """Headline numbers over the 500 rows the serving reports fetch."""
+    top = ranking.serving_top(models.serving_projection(rated(spark, sf), "row_key"), 500)
+    numbers = stats.kpis(top, filters.listing_predicate(**CHOICE))
+    mean = F.round("avg_rating", 6).alias("avg_rating")
+    return numbers.select("total", "total_delta", mean, "total_reviews", "max_rating")
+
+
+@query("e3_build_models", S.over_cleaned(f"SELECT {', '.join(DIMENSION_COLUMNS)} FROM cleaned"))
+def e3(spark, sf):
+    return warehouse.build_models(
+        canonical_listings(spark, sf), S.RUN_ID, "e3_staging", "e3_dimension", fresh_path(spark, "e3"), S.AS_OF, at()
+    )

@@ -68,6 +68,27 @@ def test_null_keys_are_kept_and_spread(spark):
     assert "hashpartitioning(k" in merged and "_spread" in merged[merged.index("hashpartitioning(k") :][:40]
 
 
+def test_hot_key_is_split_in_a_merge_join(spark):
+    frame = spark.range(60000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    table = spark.range(60000).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        joined = lookup.spread_join(frame.repartition(8), table, "k")
+        rows = joined.collect()
+        assert "skew=true" in plan_of(joined)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert len(rows) == 60000 and all(r.v == "x" for r in rows)
+
+
 def test_scd2_merge(spark):
     history_rows = [(1, "a", 10, 10, 20), (1, "b", 20, 20, None), (2, "x", 5, 5, None), (3, "q", 7, 7, None)]
     past = spark.createDataFrame(history_rows, "k int, v string, u int, valid_from int, valid_to int")
