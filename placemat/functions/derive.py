@@ -5,6 +5,7 @@ A null input fails every comparison, so it falls through to the last label unles
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column
@@ -12,30 +13,58 @@ from pyspark.sql import functions as F
 
 from placemat.functions.clean import UNKNOWN, day
 
+# The least rating of each label, and the label below them all.
+RATING_FLOORS = ((4.5, "Excellent"), (4.0, "Very Good"), (3.5, "Good"), (3.0, "Average"))
+LOWEST_RATING = "Below Average"
+
+# The highest rating of each label of the binned variant, which starts above 0.
+RATING_CEILINGS = ((3.0, "Below Average"), (3.5, "Average"), (4.0, "Good"), (4.5, "Very Good"), (5.0, "Excellent"))
+
+# Least rating, least reviews and name of each tier, and the tier below them all.
+TIERS = ((4.5, 100, "Premium"), (4.0, 50, "High Quality"), (3.5, None, "Good Quality"), (3.0, None, "Standard"))
+LOWEST_TIER = "Needs Improvement"
+
+# The least number of reviews of each volume, and the volume below them all.
+VOLUME_FLOORS = ((100, "High Volume"), (50, "Medium Volume"), (10, "Low Volume"))
+LOWEST_VOLUME = "Very Low Volume"
+
+# The highest number of reviews of each volume of the serving variant, starting above 0.
+VOLUME_CEILINGS = (
+    (10, "Very Low Volume"), (50, "Low Volume"), (200, "Medium Volume"), (float("inf"), "High Volume")
+)
+
+# The greatest age in days of each freshness, and the freshness beyond them all.
+AGES = ((1, "Very Fresh"), (7, "Fresh"), (30, "Recent"))
+OLDEST = "Stale"
+
+# The characters that draw a rating.
 FULL_STAR = "⭐"
 EMPTY_STAR = "☆"
 
 
+def _first(cases: Sequence[tuple[Column, str]], otherwise: str | None) -> Column:
+    """The label of the first condition that holds."""
+    chosen = F
+    for condition, label in cases:
+        chosen = chosen.when(condition, F.lit(label))
+    return chosen.otherwise(F.lit(otherwise))
+
+
+def _by_floor(c: Column, floors: Sequence[tuple[float, str]], lowest: str) -> Column:
+    return _first([(c >= floor, label) for floor, label in floors], lowest)
+
+
+def _by_bin(c: Column, ceilings: Sequence[tuple[float, str]]) -> Column:
+    """Bins that include their upper bound, the first one starting above zero; null outside."""
+    return F.when(c > 0, _first([(c <= ceiling, label) for ceiling, label in ceilings], None))
+
+
 def rating_category(rating: Column) -> Column:
-    return (
-        F.when(rating >= 4.5, "Excellent")
-        .when(rating >= 4.0, "Very Good")
-        .when(rating >= 3.5, "Good")
-        .when(rating >= 3.0, "Average")
-        .otherwise("Below Average")
-    )
+    return _by_floor(rating, RATING_FLOORS, LOWEST_RATING)
 
 
 def rating_category_binned(rating: Column) -> Column:
-    """Right-closed bins over (0, 5]; anything outside, and null, is null."""
-    return (
-        F.when(rating <= 0, None)
-        .when(rating <= 3.0, "Below Average")
-        .when(rating <= 3.5, "Average")
-        .when(rating <= 4.0, "Good")
-        .when(rating <= 4.5, "Very Good")
-        .when(rating <= 5.0, "Excellent")
-    )
+    return _by_bin(rating, RATING_CEILINGS)
 
 
 def price_category(level: Column, unmapped: str | None = UNKNOWN) -> Column:
@@ -44,38 +73,28 @@ def price_category(level: Column, unmapped: str | None = UNKNOWN) -> Column:
 
 
 def business_tier(rating: Column, reviews: Column) -> Column:
-    return (
-        F.when((rating >= 4.5) & (reviews >= 100), "Premium")
-        .when((rating >= 4.0) & (reviews >= 50), "High Quality")
-        .when(rating >= 3.5, "Good Quality")
-        .when(rating >= 3.0, "Standard")
-        .otherwise("Needs Improvement")
-    )
+    def reached(stars: float, count: int | None) -> Column:
+        return rating >= stars if count is None else (rating >= stars) & (reviews >= count)
+
+    return _first([(reached(stars, count), name) for stars, count, name in TIERS], LOWEST_TIER)
 
 
 def business_tier_sequential(rating: Column, reviews: Column) -> Column:
-    """Compatibility variant in which the later rule wins, so the top two tiers never survive."""
-    return F.when(rating >= 3.5, "Good Quality").when(rating < 3.0, "Needs Improvement").otherwise("Standard")
+    """Compatibility variant in which a later rule overrides an earlier one.
+
+    The rules with a review count come first there, so those two tiers never survive, and a
+    null rating, which no rule catches, keeps the initial tier.
+    """
+    *_, (good, _, good_name), (fair, _, fair_name) = TIERS
+    return _first([(rating >= good, good_name), (rating < fair, LOWEST_TIER)], fair_name)
 
 
 def review_volume(reviews: Column) -> Column:
-    return (
-        F.when(reviews >= 100, "High Volume")
-        .when(reviews >= 50, "Medium Volume")
-        .when(reviews >= 10, "Low Volume")
-        .otherwise("Very Low Volume")
-    )
+    return _by_floor(reviews, VOLUME_FLOORS, LOWEST_VOLUME)
 
 
 def review_volume_binned(reviews: Column) -> Column:
-    """Serving variant with right-closed bins; zero, negative and null are null."""
-    return (
-        F.when(reviews <= 0, None)
-        .when(reviews <= 10, "Very Low Volume")
-        .when(reviews <= 50, "Low Volume")
-        .when(reviews <= 200, "Medium Volume")
-        .when(reviews > 200, "High Volume")
-    )
+    return _by_bin(reviews, VOLUME_CEILINGS)
 
 
 def full_location(city: Column, state: Column) -> Column:
@@ -84,7 +103,7 @@ def full_location(city: Column, state: Column) -> Column:
 
 def data_freshness(ts: Column, as_of: Column | date | str | None = None) -> Column:
     age = F.datediff(day(as_of), F.to_date(ts))
-    return F.when(age <= 1, "Very Fresh").when(age <= 7, "Fresh").when(age <= 30, "Recent").otherwise("Stale")
+    return _first([(age <= most, label) for most, label in AGES], OLDEST)
 
 
 def _whole_and_half(rating: Column) -> tuple[Column, Column]:

@@ -21,13 +21,13 @@ def range_parts(
 
     The range bounds are sampled, so the layout is written out once and read back: every later
     use sees the same parts, also after executors were lost. ``order`` should end in a unique
-    column; then even rows sharing one key or one instant spread over many parts.
+    column; then even rows sharing one key or one instant spread over many parts. Without
+    ``parts`` there are at most ``spark.sql.shuffle.partitions``, merged where they are small.
     """
-    if parts is None:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order]
     row = F.monotonically_increasing_id()
-    laid_out = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("_row", row)
+    ranged = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
+    laid_out = ranged.sortWithinPartitions(*keys).withColumn("_row", row)
     return stage(
         laid_out.withColumns(
             {
