@@ -237,18 +237,16 @@ def j2(spark, sf):
 @query(
     "j3_prefer_source",
     S.over_raw(
-        """, first_choice AS (SELECT * FROM raw WHERE data_source = 'Yelp' AND row_key % 5 < 2),
-           second_choice AS (SELECT * FROM raw WHERE data_source <> 'Yelp')
-           SELECT row_key, search_location, data_source FROM first_choice
-           UNION ALL SELECT row_key, search_location, data_source FROM second_choice
+        """, first_choice AS (SELECT * FROM raw WHERE rating >= 4.5),
+           second_choice AS (SELECT * FROM raw WHERE rating < 4.5 OR rating IS NULL)
+           SELECT row_key, search_location, rating FROM first_choice
+           UNION ALL SELECT row_key, search_location, rating FROM second_choice
            WHERE search_location NOT IN (SELECT search_location FROM first_choice)"""
     ),
 )
 def j3(spark, sf):
-    listings = raw_listings(spark, sf).select("row_key", "search_location", "data_source")
-    return lookup.prefer_source(
-        listings.where("data_source = 'Yelp' and row_key % 5 < 2"), listings.where("data_source <> 'Yelp'")
-    )
+    listings = raw_listings(spark, sf).select("row_key", "search_location", "rating")
+    return lookup.prefer_source(listings.where("rating >= 4.5"), listings.where("rating < 4.5 or rating is null"))
 
 
 @query(
