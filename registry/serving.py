@@ -93,7 +93,7 @@ def f4(spark, sf):
              SELECT *, row_number() OVER (PARTITION BY search_location ORDER BY review_count DESC, row_key) AS rank
              FROM pairs WHERE d <= 5000
            )
-           SELECT search_location, row_key, review_count, round(d, 3) AS distance_m, rank
+           SELECT search_location, row_key, review_count, round(d, 3) AS distance_m, cast(rank as int) AS rank
            FROM ranked WHERE rank <= 20"""
     ),
 )
@@ -326,7 +326,7 @@ def w1(spark, sf):
 @query(
     "w2_top_per_location",
     S.over_raw(
-        """SELECT area, row_key, rating, rank FROM (
+        """SELECT area, row_key, rating, cast(rank as int) AS rank FROM (
              SELECT *, row_number() OVER (PARTITION BY area ORDER BY rating DESC NULLS LAST, row_key) AS rank FROM raw
            ) AS r WHERE rank <= 50"""
     ),
