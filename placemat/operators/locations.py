@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from placemat.operators.lookup import spread_join
-from placemat.operators.ranking import global_row_number
+from placemat.operators.ranking import global_row_number, top_per_location
 
 # Records per request and search radius in metres by priority, in processing order.
 PRIORITY_POLICY = {"high": (50, 5000), "medium": (30, 3000), "low": (20, 2000)}
@@ -57,6 +57,16 @@ def apply_priority_policy(locations: DataFrame) -> DataFrame:
     return locations.withColumns({"request_limit": F.coalesce(*limits), "radius_m": F.coalesce(*radii)})
 
 
+def top_by_policy(listings: DataFrame, locations: DataFrame, by: str = "search_location") -> DataFrame:
+    """The best-rated listings of each location, as many as the location's priority allows.
+
+    The largest limit of the policy prunes first, so the join sees few rows per location.
+    """
+    best = top_per_location(listings, max(limit for limit, _ in PRIORITY_POLICY.values()), by)
+    limits = apply_priority_policy(locations).select(F.col("name").alias(by), "request_limit")
+    return best.join(limits, by).where(F.col("rank") <= F.col("request_limit"))
+
+
 def order_by_priority(locations: DataFrame, tie: str = "ordinal") -> DataFrame:
     return locations.orderBy(priority_rank(F.col("priority")), tie)
 

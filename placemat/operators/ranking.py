@@ -61,24 +61,31 @@ def global_row_number(
 
 def surrogate_id(
     df: DataFrame,
-    order: Sequence[str] = ("ingestion_timestamp", "row_key"),
-    key: str = "row_key",
+    key: str | None = None,
+    order: Sequence[str] = ("ingestion_timestamp",),
     name: str = "restaurant_id",
     parts: int | None = None,
 ) -> DataFrame:
     """``id``, or ``unknown_<row number over all rows>`` where the id is null.
 
-    ``key`` is a unique column. All rows are numbered, but only the order columns are moved for
-    it, and only the rows without an id take part in the join that brings the number back. When
-    no id is missing nothing is numbered.
+    Rows are numbered by ``order`` and then ``key``, a unique column. With it only those columns
+    are moved for the numbering, and only the rows without an id take part in the join that
+    brings the number back. Without a key the other columns break ties and whole rows are moved.
+    When no id is missing nothing is numbered.
     """
     if df.where(F.col("id").isNull()).isEmpty():
         return df.withColumn(name, F.col("id"))
-    narrow = df.select(*dict.fromkeys([*order, key]), F.col("id").isNull().alias("_unnamed"))
-    numbered = global_row_number(narrow, order, "_number", parts).where("_unnamed")
-    given = numbered.select(key, F.concat(F.lit("unknown_"), F.col("_number").cast("string")).alias(name))
+    made_up = F.concat(F.lit("unknown_"), F.col("_number").cast("string"))
+    if key is None:
+        ordered = [*order, *[c for c in df.columns if c not in order]]
+        numbered = global_row_number(df, ordered, "_number", parts)
+        return numbered.withColumn(name, F.coalesce("id", made_up)).drop("_number")
+    ordered = [*order, key]
+    narrow = df.select(*ordered, F.col("id").isNull().alias("_unnamed"))
+    numbered = global_row_number(narrow, ordered, "_number", parts).where("_unnamed")
     kept = df.where(F.col("id").isNotNull()).withColumn(name, F.col("id"))
-    return kept.unionByName(df.where(F.col("id").isNull()).join(given, key))
+    named = df.where(F.col("id").isNull()).join(numbered.select(key, made_up.alias(name)), key)
+    return kept.unionByName(named)
 
 
 def top_per_location(

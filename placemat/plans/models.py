@@ -46,13 +46,12 @@ def clean_listings(df: DataFrame, at: Column | datetime | None = None, city_grou
 def staging_listings(
     df: DataFrame,
     at: Column | datetime | None = None,
-    order: tuple[str, ...] = ("ingestion_timestamp", "row_key"),
-    key: str = "row_key",
+    key: str | None = None,
     city_group: int = 1,
     parts: int | None = None,
 ) -> DataFrame:
-    """The staging model. ``key`` is a unique column that also breaks ties of the numbering."""
-    named = surrogate_id(require_name(df), order, key, "restaurant_id", parts)
+    """The staging model. Name a unique column as ``key`` to number rows without an id cheaply."""
+    named = surrogate_id(require_name(df), key, parts=parts)
     return clean_listings(named, at, city_group).select(*STAGING_COLUMNS)
 
 

@@ -19,10 +19,10 @@ def build_models(
     path: str | None = None,
     as_of: Column | date | str | None = None,
     at: Column | datetime | None = None,
-    key: str = "row_key",
+    key: str | None = None,
 ) -> DataFrame:
     """Create the staging view and the dimension table over it; returns the table."""
-    staging = materialize_view(staging_listings(raw, at, ("ingestion_timestamp", key), key), view)
+    staging = materialize_view(staging_listings(raw, at, key), view)
     return materialize_clustered(dim_listings(staging, run_id, as_of, at), table, path=path)
 
 

@@ -160,7 +160,7 @@ def p11(spark, sf):
 @query("p12_surrogate_id", S.over_cleaned("SELECT row_key, restaurant_id FROM cleaned"))
 def p12(spark, sf):
     named = raw_listings(spark, sf).where("name is not null")
-    return ranking.surrogate_id(named).select("row_key", "restaurant_id")
+    return ranking.surrogate_id(named, "row_key").select("row_key", "restaurant_id")
 
 
 @query("p13_rating_category", S.over_raw(f"SELECT row_key, {S.RATING_CATEGORY} AS rating_category FROM raw"))
@@ -270,12 +270,12 @@ def p22(spark, sf):
 
 @query("p23_staging_listings", S.over_cleaned(f"SELECT {', '.join(STAGING_COLUMNS)} FROM cleaned"))
 def p23(spark, sf):
-    return models.staging_listings(canonical_listings(spark, sf), at())
+    return models.staging_listings(canonical_listings(spark, sf), at(), "row_key")
 
 
 @query("p24_dim_listings", S.over_cleaned(f"SELECT {', '.join(DIMENSION_COLUMNS)} FROM cleaned"))
 def p24(spark, sf):
-    return models.dim_listings(models.staging_listings(canonical_listings(spark, sf), at()), S.RUN_ID, S.AS_OF, at())
+    return models.dim_listings(models.staging_listings(canonical_listings(spark, sf), at(), "row_key"), S.RUN_ID, S.AS_OF, at())
 
 
 @query(

@@ -82,6 +82,21 @@ def j5(spark, sf):
     return loc.apply_priority_policy(locations(spark, sf).select("ordinal", "priority"))
 
 
+@query(
+    "j5_top_by_policy",
+    f"""WITH {S.RAW}, {S.LOCATIONS}, ranked AS (
+          SELECT row_key, search_location, rating, cast(row_number() OVER (
+            PARTITION BY search_location ORDER BY rating DESC NULLS LAST, row_key) as int) AS rank FROM raw)
+        SELECT row_key, search_location, rating, rank,
+          case priority when 'high' then 50 when 'medium' then 30 else 20 end AS request_limit
+        FROM ranked r JOIN locations l ON r.search_location = l.name
+        WHERE rank <= case priority when 'high' then 50 when 'medium' then 30 else 20 end""",
+)
+def j5_top(spark, sf):
+    listings = raw_listings(spark, sf).select("row_key", "search_location", "rating")
+    return loc.top_by_policy(listings, locations(spark, sf))
+
+
 @query(
     "o3_order_by_priority",
     S.over_locations(f"SELECT {SHOWN_SQL} FROM locations ORDER BY {RANK}, ordinal"),

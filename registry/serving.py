@@ -487,5 +487,6 @@ def kpis_of_top(spark, sf):
 @query("e3_build_models", S.over_cleaned(f"SELECT {', '.join(DIMENSION_COLUMNS)} FROM cleaned"))
 def e3(spark, sf):
     return warehouse.build_models(
-        canonical_listings(spark, sf), S.RUN_ID, "e3_staging", "e3_dimension", fresh_path(spark, "e3"), S.AS_OF, at()
+        canonical_listings(spark, sf), S.RUN_ID, "e3_staging", "e3_dimension", fresh_path(spark, "e3"), S.AS_OF, at(),
+        "row_key",
     )

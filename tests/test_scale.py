@@ -200,6 +200,14 @@ def test_location_maintenance(spark, dimension):
     assert flagged == {"Boston, MA": False, "Nowhere": False}
 
 
+def test_policy_limits(spark, dimension):
+    listings = dimension.crossJoin(spark.range(60).withColumnRenamed("id", "row_key")).select(
+        F.col("name").alias("search_location"), "row_key", (F.col("row_key") % 5).alias("rating")
+    )
+    counts = {r.search_location: r["count"] for r in loc.top_by_policy(listings, dimension).groupBy("search_location").count().collect()}
+    assert [counts[n] for n in ("Phoenix, AZ", "Miami, FL", "Portland, OR")] == [50, 30, 20]
+
+
 def test_preview(spark, dimension):
     rows = [tuple(r) for r in ranking.preview(dimension).collect()]
     assert (None, 6) in rows and len(rows) == 6

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from placemat.operators import combine, filters, quality, shape
+from placemat.operators import combine, filters, quality, ranking, shape
 from placemat.plans import models
 from placemat.schema import DIMENSION_COLUMNS, LISTING_SCHEMA, STAGING_COLUMNS
 from registry.inputs import at, canonical_listings, table_of
@@ -66,11 +66,20 @@ def test_canonicalize_fills_absent_columns(spark):
 
 
 def test_models_have_the_fixed_columns(spark, small):
-    staging = models.staging_listings(canonical_listings(spark, small), at())
+    staging = models.staging_listings(canonical_listings(spark, small), at(), "row_key")
     assert tuple(staging.columns) == STAGING_COLUMNS
     assert tuple(models.dim_listings(staging, "r", "2001-08-01", at()).columns) == DIMENSION_COLUMNS
 
 
+def test_ids_without_a_key(spark):
+    rows = [(None, "b", 2), ("x", "a", 1), (None, "c", 2), (None, "c", 2), (None, "d", 3)]
+    frame = spark.createDataFrame(rows, "id string, name string, ingestion_timestamp int")
+    found = sorted((r.name, r.restaurant_id) for r in ranking.surrogate_id(frame).collect())
+    assert found == [("a", "x"), ("b", "unknown_2"), ("c", "unknown_3"), ("c", "unknown_4"), ("d", "unknown_5")]
+    given = frame.where("id is not null")
+    assert ranking.surrogate_id(given).first().restaurant_id == "x"
+
+
 def test_sample_record(spark):
     sample = spark.sql(
         """select 'Joe''s Pizza' name, 4.5D rating, '123 Main St, New York, NY' formatted_address, 2 price_level,
