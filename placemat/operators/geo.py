@@ -59,9 +59,10 @@ def places_around(
 ) -> DataFrame:
     """Every place of a type within ``radius_m`` of a centre, with its distance.
 
-    ``centres`` has ``name``, ``latitude`` and ``longitude``. A grid of cells about as wide as
-    the radius turns the search into an equality join, so places are compared with the centres
-    nearby only, and the join follows Spark's own size check.
+    ``centres`` has ``name``, ``latitude`` and ``longitude``, and may have a smaller ``radius_m``
+    of its own for each centre. A grid of cells about as wide as the radius turns the search
+    into an equality join, so places are compared with the centres nearby only, and the join
+    follows Spark's own size check.
     """
     height = math.degrees(radius_m / EARTH_RADIUS_M) * 1.01
     located = places.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
@@ -71,19 +72,20 @@ def places_around(
     located = located.withColumns({"_band": band, "_cell_count": _cells_in(band, height)}).withColumn(
         "_cell", F.pmod(_cell(F.col("longitude"), F.col("_cell_count")), F.col("_cell_count"))
     )
-    around = _covering(
-        centres.select(
-            F.col("name").alias("search_location"), F.col("latitude").alias("_clat"), F.col("longitude").alias("_clng")
-        ).dropna(),
-        radius_m,
-        height,
+    own = F.least(F.col("radius_m"), F.lit(radius_m)) if "radius_m" in centres.columns else F.lit(radius_m)
+    placed = centres.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
+        F.col("name").alias("search_location"),
+        F.col("latitude").alias("_clat"),
+        F.col("longitude").alias("_clng"),
+        own.cast("double").alias("_radius"),
     )
+    around = _covering(placed, radius_m, height)
     distance = haversine_m(F.col("_clat"), F.col("_clng"), F.col("latitude"), F.col("longitude"))
     return (
         located.join(around, ["_band", "_cell"])
         .withColumn("distance_m", distance)
-        .where(F.col("distance_m") <= radius_m)
-        .drop("_band", "_cell", "_cell_count", "_clat", "_clng")
+        .where(F.col("distance_m") <= F.col("_radius"))
+        .drop("_band", "_cell", "_cell_count", "_clat", "_clng", "_radius")
     )
 
 

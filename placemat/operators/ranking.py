@@ -11,6 +11,8 @@ from placemat.scratch import stage
 
 PART = "_part"
 POSITION = "_position"
+LARGEST_PRUNED_RANK = 1000  # default of spark.sql.optimizer.windowGroupLimitThreshold
+SALTS = 256
 ROWS_PER_PART_BITS = 33  # layout of monotonically_increasing_id: partition id above, position below
 
 
@@ -98,11 +100,19 @@ def top_per_location(
     """The best-rated ``k`` rows of each location.
 
     The rank filter lets Spark keep ``k`` rows per location in each task before the shuffle,
-    so a location holding a large share of the rows does not travel whole.
+    so a location holding a large share of the rows does not travel whole. Spark stops doing
+    so for a large ``k``; then the rows of a location are first ranked in salted groups.
     """
     order = order or [F.desc_nulls_last("rating"), F.asc("row_key")]
-    ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(by).orderBy(*order)))
-    return ranked.where(F.col(name) <= k)
+
+    def best(frame: DataFrame, *keys: str) -> DataFrame:
+        ranked = frame.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        return ranked.where(F.col(name) <= k)
+
+    if k < LARGEST_PRUNED_RANK:
+        return best(df, by)
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
+    return best(best(df.withColumn("_salt", salt), by, "_salt").drop("_salt"), by)
 
 
 def serving_top(df: DataFrame, n: int = 500, tie: str = "place_id") -> DataFrame:

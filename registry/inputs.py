@@ -79,6 +79,7 @@ CENTRE = {
     "name": "n_name",
     "latitude": "cast(-60 + 5 * n_nationkey as double)",
     "longitude": "cast(-120 + 10 * n_nationkey as double)",
+    "priority": "case n_nationkey % 3 when 0 then 'high' when 1 then 'medium' else 'low' end",
 }
 
 # Listings as messages report them: one per event, the user being the listing.

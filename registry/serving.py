@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from placemat.operators import features, filters, geo, quality, ranking, stats
+from placemat.operators.locations import apply_priority_policy
 from placemat.plans import models, warehouse
 from placemat.schema import DIMENSION_COLUMNS
 from placemat.scratch import fresh_path
@@ -78,11 +79,10 @@ def f4(spark, sf):
     return filters.search_name(raw_listings(spark, sf), "pLACE 1[0-4]+ ").select("row_key", "name")
 
 
-@query(
-    "f8_radius_filter",
-    S.over_places(
-        """, pairs AS (
-             SELECT c.name AS search_location, p.row_key, p.review_count,
+def _radius_sql(radius: str) -> str:
+    return S.over_places(
+        f""", pairs AS (
+             SELECT c.name AS search_location, p.row_key, p.review_count, {radius} AS radius_m,
                2 * 6371000.0 * asin(least(1.0, sqrt(
                  pow(sin(radians(p.latitude - c.latitude) / 2), 2)
                  + cos(radians(c.latitude)) * cos(radians(p.latitude))
@@ -91,18 +91,32 @@ def f4(spark, sf):
              WHERE list_contains(p.types, 'restaurant')
            ), ranked AS (
              SELECT *, row_number() OVER (PARTITION BY search_location ORDER BY review_count DESC, row_key) AS rank
-             FROM pairs WHERE d <= 5000
+             FROM pairs WHERE d <= radius_m
            )
            SELECT search_location, row_key, review_count, round(d, 3) AS distance_m, cast(rank as int) AS rank
            FROM ranked WHERE rank <= 20"""
-    ),
-)
-def f8(spark, sf):
-    found = geo.radius_filter(places(spark, sf), centres(spark, sf))
+    )
+
+
+def _found(places_frame, centres_frame):
+    found = geo.radius_filter(places_frame, centres_frame)
     distance = F.round("distance_m", 3).alias("distance_m")
     return found.select("search_location", "row_key", "review_count", distance, "rank")
 
 
+@query("f8_radius_filter", _radius_sql("5000"))
+def f8(spark, sf):
+    return _found(places(spark, sf), centres(spark, sf).drop("priority"))
+
+
+@query(
+    "f8_radius_filter_by_policy",
+    _radius_sql("case c.priority when 'high' then 5000 when 'medium' then 3000 else 2000 end"),
+)
+def f8_policy(spark, sf):
+    return _found(places(spark, sf), apply_priority_policy(centres(spark, sf)))
+
+
 # Reports
 
 @query(

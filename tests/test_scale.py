@@ -138,6 +138,16 @@ def test_top_per_location_prunes_before_the_shuffle(spark, small):
     assert "WindowGroupLimit" in plan[plan.index("Exchange") :]
 
 
+def test_large_k_is_ranked_in_salted_groups(spark):
+    frame = spark.range(6000).select(
+        F.col("id").alias("row_key"), F.lit("hot").alias("search_location"), (F.col("id") * 31 % 977).alias("rating")
+    )
+    top = ranking.top_per_location(frame, 1500)
+    want = [r.row_key for r in frame.orderBy(F.desc("rating"), "row_key").limit(1500).collect()]
+    assert [r.row_key for r in top.orderBy("rank").collect()] == want
+    assert "_salt" in plan_of(top)
+
+
 def test_top_k_does_not_sort_everything(spark, small):
     for name in ("o1_serving_top", "o2_top_rated"):
         assert "TakeOrderedAndProject" in plan_of(QUERIES[name].build(spark, small))

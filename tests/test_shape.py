@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from placemat.operators import combine, filters, quality, ranking, shape
+from placemat.operators import combine, filters, quality, ranking, shape, stats
 from placemat.plans import models
 from placemat.schema import DIMENSION_COLUMNS, LISTING_SCHEMA, STAGING_COLUMNS
 from registry.inputs import at, canonical_listings, table_of
@@ -96,6 +96,22 @@ def test_valid_listings(spark):
     assert filters.valid_listings(frame).count() == 2
 
 
+def test_kpis_of_an_empty_choice(spark):
+    frame = spark.createDataFrame([(4.0, 10), (None, None), (5.0, 1)], "rating double, review_count int")
+    assert tuple(stats.kpis(frame, F.lit(False)).first()) == (0, -3, None, None, 0, -11, None, None)
+    assert tuple(stats.kpis(frame, F.col("rating") > 4).first()) == (1, -2, 5.0, 0.5, 1, -10, 5.0, 0.0)
+
+
+def test_histogram_bounds(spark):
+    frame = spark.createDataFrame([(r,) for r in (0.0, 0.24, 0.25, 4.75, 5.0, 5.1, None)], "rating double")
+    assert [(r.bin, r["count"]) for r in stats.histogram(frame).collect()] == [(0, 2), (1, 1), (19, 2)]
+
+
+def test_run_summary_lists_feeds_that_delivered(spark):
+    frame = spark.createDataFrame([("Yelp", "a"), ("yelp", "b"), ("other", "b")], "data_source string, search_location string")
+    assert tuple(stats.run_summary(frame).first()) == (3, 2, ["yelp"], 1)
+
+
 def test_empty_term_keeps_all(spark):
     frame = spark.createDataFrame([("Zoë",), (None,)], "name string")
     assert filters.search_name(frame).count() == 2
