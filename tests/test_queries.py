@@ -40,4 +40,4 @@ def test_sql_belongs_to_queries():
 
 
 def test_names_are_free_of_reserved_words():
-    assert not [n for n in contract.queries() if n.startswith("op") or "pipeline" in n]
+    assert not [n for n in QUERIES if n.startswith("op") or "pipeline" in n]
