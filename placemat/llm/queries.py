@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemat.llm import secrets
+from placemat.llm import hosts, secrets, winnow
 from placemat.llm.core import QUERIES, documents, query
 
 __all__ = ["QUERIES"]
@@ -20,3 +20,25 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.span_text(F.col("secrets_base")), 256).alias("base_sha256"),
         secrets.span_text(F.col("secrets")).alias("spans"),
     )
+
+
+@query("op2_fingerprints")
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.neighbour_likeness(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+        winnow.fingerprint_text(F.col("own")).alias("fingerprint"),
+        winnow.fingerprint_text(F.col("other")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+@query("op4_host_rules", hosts.SQL)
+def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = hosts.host_verdicts(documents(spark, sf_dir).select("doc_id", "source", "text"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
