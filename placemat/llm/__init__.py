@@ -1 +1,10 @@
-"""Operators for preparing training text."""
+"""Operators for preparing training text.
+
+What tasks run of this package travels with the job, so executors need no copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

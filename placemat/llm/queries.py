@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemat.llm import hosts, secrets, winnow
+from placemat.llm import hosts, packing, secrets, token_files, winnow
 from placemat.llm.core import QUERIES, documents, query
+from placemat.scratch import fresh_path
 
 __all__ = ["QUERIES"]
 
@@ -42,3 +43,24 @@ def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query("op8_token_files")
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "tokens")
+    token_files.write_tokens(documents(spark, sf_dir), path)
+    return token_files.token_digests(token_files.read_tokens(spark, path))
+
+
+@query("op10_best_fit_packing")
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(documents(spark, sf_dir))
+    return packed.select(
+        "doc_id",
+        "piece",
+        "start",
+        F.col("length").cast("long").alias("length"),
+        F.crc32("ids").alias("ids_crc32"),
+        "sequence_id",
+        "offset",
+    )

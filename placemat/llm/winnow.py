@@ -15,15 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placemat.llm.core import shuffle_partitions
+from placemat.llm.ranges import bound_array, order_key, range_bounds, range_of
 
 WORD = r"[^\x20\x09-\x0D]+"
 K = 3
 WINDOW = 8  # a power of two
 POSITION_BITS = 31
 LAST_POSITION = (1 << POSITION_BITS) - 1
-NO_ID = -(1 << 63)
-COARSE = 64
 
 
 def _shifted_least(values: Column, by: int) -> Column:
@@ -87,32 +85,18 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
-def _bucket(key: Column, bounds: list[int]) -> Column:
-    """How many bounds are less than ``key``: first among every 64th of them, then among the next 64."""
-    every = F.array(*[F.lit(b).cast("bigint") for b in bounds])
-    coarse = F.array(*[F.lit(b).cast("bigint") for b in bounds[COARSE - 1 :: COARSE]]).cast("array<bigint>")
-    below = F.size(F.filter(coarse, lambda b: b < key)) * COARSE
-    return below + F.size(F.filter(F.slice(every, below + 1, F.lit(COARSE)), lambda b: b < key))
-
-
 def with_next(df: DataFrame, key: str, carried: dict[str, str], tie: Column) -> DataFrame:
     """Each row with columns of the next row by descending ``key``; the first row follows the last.
 
     ``carried`` maps a column to the name its next value gets. Rows go by one shuffle to ranges of the key,
     cut at values the key has; the row at a cut is also sent, as a guest, to the range that ends before it,
     so that no second pass is needed. Null keys come last. Rows of one key share a range, ordered by ``tie``.
-    The driver holds one bound per range, four ranges per shuffle partition.
     """
-    spark = df.sparkSession
-    ranges = 4 * shuffle_partitions(spark)
-    order = F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID))
-    found = df.select(order.alias("k")).agg(
-        F.max("k"), F.percentile_approx("k", [i / ranges for i in range(1, ranges)], 20 * ranges)
-    ).first()
-    bounds = sorted({*(found[1] or ()), *([found[0]] if found[0] is not None else ())}) or [0]
+    bounds = range_bounds(df, key)
     last = F.lit(len(bounds) - 1)
-    keyed = df.withColumn("__key", order).withColumn("__tie", tie).withColumn("__own", _bucket(F.col("__key"), bounds))
-    at_cut = F.col("__key") == F.element_at(F.array(*[F.lit(b).cast("bigint") for b in bounds]), F.col("__own") + 1)
+    keyed = df.withColumn("__key", order_key(key)).withColumn("__tie", tie)
+    keyed = keyed.withColumn("__own", range_of(F.col("__key"), bounds))
+    at_cut = F.col("__key") == F.element_at(bound_array(bounds), F.col("__own") + 1)
 
     def place(bucket: Column, guest: bool) -> Column:
         return F.struct(bucket.alias("bucket"), F.lit(guest).alias("guest"))
