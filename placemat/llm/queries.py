@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemat.llm import hosts, packing, secrets, token_files, winnow
+from placemat.llm import hosts, packing, secrets, simhash, token_files, winnow
 from placemat.llm.core import QUERIES, documents, query
 from placemat.scratch import fresh_path
 
@@ -64,3 +64,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "sequence_id",
         "offset",
     )
+
+
+@query("op9_simhash")
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_groups(documents(spark, sf_dir))
+    return found.select("doc_id", simhash.hex_text(F.col("fp")).alias("fingerprint"), "component_id")
