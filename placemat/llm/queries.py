@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemat.llm import hosts, packing, secrets, simhash, token_files, winnow
+from placemat.llm import bpe, hosts, packing, secrets, simhash, token_files, winnow
 from placemat.llm.core import QUERIES, documents, query
 from placemat.scratch import fresh_path
 
@@ -70,3 +70,14 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(documents(spark, sf_dir))
     return found.select("doc_id", simhash.hex_text(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op3_word_bpe")
+def op3_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.decode_documents(bpe.encode_documents(documents(spark, sf_dir)))
+    return coded.select(
+        "doc_id",
+        F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2(F.col("ids"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
