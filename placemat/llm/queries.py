@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemat.llm import bpe, hosts, langid, packing, secrets, simhash, token_files, winnow
+from placemat.llm import bpe, hosts, langid, packing, pii, secrets, simhash, token_files, winnow
 from placemat.llm.core import QUERIES, documents, query
 from placemat.scratch import fresh_path
 
@@ -88,3 +88,8 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     found = langid.predict(docs, langid.fit(docs))
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_pii_surrogates")
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(documents(spark, sf_dir).select("doc_id", "text"))
