@@ -8,6 +8,10 @@ all steps that read the same frame of blocks share its exchange.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,3 +41,56 @@ def squeeze(data: bytes) -> bytes:
 
 def unsqueeze(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
+
+
+#: Rows a task holds before it packs them, in bytes of Arrow data.
+PACK_BYTES = 48 << 20
+
+
+def pack_rows(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack_rows(payloads: pa.ChunkedArray) -> pa.Table | None:
+    """All rows of a block, or None if it has none."""
+    tables = [pa.ipc.open_stream(p.as_buffer()).read_all() for p in payloads]
+    return pa.concat_tables(tables) if tables else None
+
+
+def packed_blocks(docs: DataFrame, key: str) -> DataFrame:
+    """``block, payload``, shuffled by block: the rows of ``docs`` in compressed packs.
+
+    Text takes about half the room in the shuffle that it takes row by row.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packs(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held)
+            blocks = rows.column("block").to_numpy()
+            order = np.argsort(blocks, kind="stable")
+            sorted_blocks = blocks[order]
+            cuts = [0, *(np.flatnonzero(np.diff(sorted_blocks)) + 1).tolist(), len(order)]
+            rows = rows.drop_columns(["block"])
+            own, data = [], []
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if b > a:
+                    own.append(int(sorted_blocks[a]))
+                    data.append(pack_rows(rows.take(pa.array(order[a:b])).combine_chunks()))
+            return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(data, pa.binary())], ["block", "payload"])
+
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size > PACK_BYTES:
+                yield packs(held)
+                held, size = [], 0
+        if held:
+            yield packs(held)
+
+    numbered = docs.withColumn("block", block_number(docs, F.col(key)))
+    parts = shuffle_partitions(docs.sparkSession)
+    return numbered.mapInArrow(pack, "block int, payload binary").repartition(parts, "block")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemat.llm import bpe, hosts, langid, packing, pii, secrets, simhash, token_files, winnow
+from placemat.llm import bpe, hosts, kneser_ney, langid, packing, pii, secrets, simhash, token_files, winnow
 from placemat.llm.core import QUERIES, documents, query
 from placemat.scratch import fresh_path
 
@@ -93,3 +93,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_pii_surrogates")
 def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_entities(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+@query("op7_quality_perplexity")
+def op7_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = kneser_ney.trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    judged = kneser_ney.classify(documents(spark, sf_dir), trusted)
+    return judged.select("doc_id", "lang", "n_bytes", "perplexity", "threshold", "kept")
