@@ -85,8 +85,7 @@ def business_tier_sequential(rating: Column, reviews: Column) -> Column:
     The rules with a review count come first there, so those two tiers never survive, and a
     null rating, which no rule catches, keeps the initial tier.
     """
-    *_, (good, _, good_name), (fair, _, fair_name) = TIERS
-    return _first([(rating >= good, good_name), (rating < fair, LOWEST_TIER)], fair_name)
+    return F.when(rating >= 3.5, "Good Quality").when(rating < 3.0, LOWEST_TIER).otherwise("Standard")
 
 
 def review_volume(reviews: Column) -> Column:

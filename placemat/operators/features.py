@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from placemat.scratch import stage
 
 FEATURES = ("rating", "price_level", "user_ratings_total", "latitude", "longitude")
 
@@ -19,19 +21,27 @@ def assemble_features(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataF
     return Pipeline(stages=[assembler]).fit(df).transform(df)
 
 
-def train_rating_model(df: DataFrame, seed: int = 42, trees: int = 20, depth: int = 5) -> PipelineModel:
-    """Random-forest regression of the rating on the other features."""
+def train_rating_model(
+    df: DataFrame, seed: int = 42, trees: int = 20, depth: int = 5, rows: int = 1_000_000
+) -> PipelineModel:
+    """Random-forest regression of the rating on the other features.
+
+    Fitted on at most ``rows`` rated rows, those with the smallest hashes of their values.
+    """
     inputs = [c for c in FEATURES if c != "rating"]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip")
     forest = RandomForestRegressor(
         featuresCol="features", labelCol="rating", numTrees=trees, maxDepth=depth, seed=seed
     )
-    return Pipeline(stages=[assembler, forest]).fit(df.dropna(subset=["rating"]))
+    return Pipeline(stages=[assembler, forest]).fit(
+        df.dropna(subset=["rating"]).orderBy(F.xxhash64(*FEATURES), *FEATURES).limit(rows)
+    )
 
 
 def partition_and_cache(df: DataFrame, n: int = 10, by: str = "city") -> DataFrame:
-    """Rows of one ``by`` value kept together in about ``n`` partitions, and persisted.
+    """Rows of one ``by`` value kept together in about ``n`` partitions, written once for repeated reads.
 
-    The rebalance hint splits a value that would make a partition far too large.
+    The rebalance hint splits a value that would make a partition far too large. The rows are in the
+    shared folder, so nothing stays in the executors' memory and nothing needs to be released.
     """
-    return df.hint("rebalance", n, by).persist(StorageLevel.MEMORY_AND_DISK)
+    return stage(df.hint("rebalance", n, by), "layout")

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placemat.operators.ranking import top_per_location
-
 EARTH_RADIUS_M = 6371000.0
 DEFAULT_RADIUS_M = 5000
 DEFAULT_LIMIT = 20
@@ -36,12 +35,12 @@ def _cell(lng: Column, cells: Column) -> Column:
     return F.floor((lng + 180) / 360 * cells).cast("int")
 
 
-def _covering(centres: DataFrame, radius_m: float, height: float) -> DataFrame:
-    """Each centre once per grid cell that its circle may reach."""
-    reach = math.degrees(radius_m / EARTH_RADIUS_M) * 1.000001  # a hair wider than the circle
+def _covering(centres: DataFrame, height: float) -> DataFrame:
+    """Each centre once per grid cell that its circle, of its own ``_radius``, may reach."""
+    reach = F.degrees(F.col("_radius") / EARTH_RADIUS_M) * 1.000001  # a hair wider than the circle
     lat, lng = F.col("_clat"), F.col("_clng")
     spread = F.when(F.abs(lat) + reach >= 90, F.lit(180.0)).otherwise(
-        F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.lit(reach))) / F.cos(F.radians(lat)))))
+        F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(reach)) / F.cos(F.radians(lat)))))
     )
     bands = F.sequence(_band(F.greatest(lat - reach, F.lit(-90.0)), height), _band(F.least(lat + reach, F.lit(90.0)), height))
     banded = centres.withColumns({"_reach": spread, "_band": F.explode(bands)}).withColumn(
@@ -55,14 +54,19 @@ def _covering(centres: DataFrame, radius_m: float, height: float) -> DataFrame:
 
 
 def places_around(
-    places: DataFrame, centres: DataFrame, radius_m: float = DEFAULT_RADIUS_M, place_type: str | None = "restaurant"
+    places: DataFrame,
+    centres: DataFrame,
+    radius_m: float = DEFAULT_RADIUS_M,
+    place_type: str | None = "restaurant",
+    carried: Sequence[str] = (),
 ) -> DataFrame:
-    """Every place of a type within ``radius_m`` of a centre, with its distance.
+    """Every place of a type within reach of a centre, with its distance and the centre's ``carried`` columns.
 
-    ``centres`` has ``name``, ``latitude`` and ``longitude``, and may have a smaller ``radius_m``
-    of its own for each centre. A grid of cells about as wide as the radius turns the search
-    into an equality join, so places are compared with the centres nearby only, and the join
-    follows Spark's own size check.
+    ``centres`` has ``name``, ``latitude`` and ``longitude``. Its own ``radius_m``, where the column is
+    there and not null, counts in full; else the argument does. A grid of cells about as wide as the
+    argument turns the search into an equality join, so places are compared with the centres nearby
+    only, and the join follows Spark's own size check. A centre takes a row per cell its circle
+    touches, so pass a ``radius_m`` about as large as most circles.
     """
     height = math.degrees(radius_m / EARTH_RADIUS_M) * 1.01
     located = places.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
@@ -72,14 +76,15 @@ def places_around(
     located = located.withColumns({"_band": band, "_cell_count": _cells_in(band, height)}).withColumn(
         "_cell", F.pmod(_cell(F.col("longitude"), F.col("_cell_count")), F.col("_cell_count"))
     )
-    own = F.least(F.col("radius_m"), F.lit(radius_m)) if "radius_m" in centres.columns else F.lit(radius_m)
+    own = F.coalesce(F.col("radius_m"), F.lit(radius_m)) if "radius_m" in centres.columns else F.lit(radius_m)
     placed = centres.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(
         F.col("name").alias("search_location"),
         F.col("latitude").alias("_clat"),
         F.col("longitude").alias("_clng"),
         own.cast("double").alias("_radius"),
+        *carried,
     )
-    around = _covering(placed, radius_m, height)
+    around = _covering(placed, height)
     distance = haversine_m(F.col("_clat"), F.col("_clng"), F.col("latitude"), F.col("longitude"))
     return (
         located.join(around, ["_band", "_cell"])
@@ -97,7 +102,12 @@ def radius_filter(
     limit: int = DEFAULT_LIMIT,
     tie: str = "row_key",
 ) -> DataFrame:
-    """The ``limit`` most reviewed places of a type in the circle around each centre."""
-    found = places_around(places, centres, radius_m, place_type)
-    order = [F.desc_nulls_last("review_count"), F.asc(tie)]
-    return top_per_location(found, limit, "search_location", order)
+    """The most reviewed places of a type in the circle around each centre.
+
+    As many as the centre's own ``request_limit``, where the column is there and not null, else ``limit``.
+    """
+    own = ["request_limit"] if "request_limit" in centres.columns else []
+    found = places_around(places, centres, radius_m, place_type, own)
+    order = Window.partitionBy("search_location").orderBy(F.desc_nulls_last("review_count"), F.asc(tie))
+    most = F.coalesce(*[F.col(c) for c in own], F.lit(limit))
+    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).drop(*own)

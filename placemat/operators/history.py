@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placemat.operators.lookup import spread_join
 from placemat.operators.ranking import PART, POSITION, range_parts
 
 
@@ -25,7 +24,7 @@ def with_neighbour(
     It equals ``lag``/``lead`` over (partition by key order by order), null at the ends, but a
     key may span any number of tasks. Rows are laid out so that the wanted neighbour comes next;
     the window runs inside (part, key), and the first row of each part, at most ``parts`` in
-    all, is handed to the part before it.
+    all, is handed to the part before it. Whole rows are written, so select what is needed first.
     """
     laid_out = range_parts(df, [key, *order], parts, descending=not ahead)
     values = F.struct(*columns)
@@ -43,9 +42,12 @@ def with_neighbour(
 
 
 def scd2_history(
-    df: DataFrame, key: str, updated_at: str, tie: Sequence[str] = (), parts: int | None = None
+    df: DataFrame, key: str, updated_at: str, tie: Sequence[str], parts: int | None = None
 ) -> DataFrame:
-    """Validity interval of each version: from its own update to the next one of the same key."""
+    """Validity interval of each version: from its own update to the next one of the same key.
+
+    ``tie`` orders versions of one key and time; with it the order must be unique.
+    """
     following = with_neighbour(df, key, [updated_at, *tie], [updated_at], "_next", ahead=True, parts=parts)
     return following.withColumns(
         {"valid_from": F.col(updated_at), "valid_to": F.col(f"_next.{updated_at}")}
@@ -60,12 +62,12 @@ def snapshot_merge(history: DataFrame, current: DataFrame, key: str, updated_at:
     """
     incoming = current.select(F.col(key), F.col(updated_at).alias("_incoming"))
     newer = F.col("valid_to").isNull() & (F.col("_incoming") > F.col(updated_at))
-    closed = spread_join(history, incoming, key).withColumn(
+    closed = history.join(incoming, key, "left").withColumn(
         "valid_to", F.when(newer, F.col("_incoming")).otherwise(F.col("valid_to"))
     )
     open_now = history.where("valid_to is null").select(F.col(key), F.col(updated_at).alias("_open"))
     fresh = (
-        spread_join(current, open_now, key)
+        current.join(open_now, key, "left")
         .where(F.col("_open").isNull() | (F.col(updated_at) > F.col("_open")))
         .withColumns(
             {"valid_from": F.col(updated_at), "valid_to": F.lit(None).cast(current.schema[updated_at].dataType)}
@@ -75,9 +77,12 @@ def snapshot_merge(history: DataFrame, current: DataFrame, key: str, updated_at:
 
 
 def rating_drops(
-    df: DataFrame, threshold: float, key: str = "id", order: Sequence[str] = ("timestamp",), parts: int | None = None
+    df: DataFrame, threshold: float, order: Sequence[str], key: str = "id", parts: int | None = None
 ) -> DataFrame:
-    """Rows whose rating is at least ``threshold`` below the previous rating of the same listing."""
+    """Rows whose rating is at least ``threshold`` below the previous rating of the same listing.
+
+    ``order`` must be unique within a listing.
+    """
     compared = with_neighbour(df, key, order, ["rating"], "_previous", parts=parts)
     drop = F.col("_previous.rating") - F.col("rating")
     return (
@@ -90,11 +95,14 @@ def rating_drops(
 def availability_changes(
     df: DataFrame,
     available: Column,
+    order: Sequence[str],
     key: str = "id",
-    order: Sequence[str] = ("timestamp",),
     parts: int | None = None,
 ) -> DataFrame:
-    """Rows whose availability differs from the previous row of the same listing."""
+    """Rows whose availability differs from the previous row of the same listing.
+
+    ``order`` must be unique within a listing.
+    """
     flagged = df.withColumn("available", available)
     compared = with_neighbour(flagged, key, order, ["available"], "_previous", parts=parts)
     return (

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from placemat.operators.lookup import spread_join
 from placemat.operators.ranking import global_row_number, top_per_location
 
 # Records per request and search radius in metres by priority, in processing order.
@@ -57,14 +56,19 @@ def apply_priority_policy(locations: DataFrame) -> DataFrame:
     return locations.withColumns({"request_limit": F.coalesce(*limits), "radius_m": F.coalesce(*radii)})
 
 
-def top_by_policy(listings: DataFrame, locations: DataFrame, by: str = "search_location") -> DataFrame:
+def top_by_policy(
+    listings: DataFrame, locations: DataFrame, by: str = "search_location", unlisted_limit: int = 20
+) -> DataFrame:
     """The best-rated listings of each location, as many as the location's priority allows.
 
-    The largest limit of the policy prunes first, so the join sees few rows per location.
+    A location that is not in ``locations``, or whose priority the policy does not list, gets
+    ``unlisted_limit``. The largest limit prunes first, so the join sees few rows per location.
     """
-    best = top_per_location(listings, max(limit for limit, _ in PRIORITY_POLICY.values()), by)
+    most = max(unlisted_limit, *[limit for limit, _ in PRIORITY_POLICY.values()])
     limits = apply_priority_policy(locations).select(F.col("name").alias(by), "request_limit")
-    return best.join(limits, by).where(F.col("rank") <= F.col("request_limit"))
+    limited = top_per_location(listings, most, by).join(limits, by, "left")
+    limited = limited.withColumn("request_limit", F.coalesce("request_limit", F.lit(unlisted_limit)))
+    return limited.where(F.col("rank") <= F.col("request_limit"))
 
 
 def order_by_priority(locations: DataFrame, tie: str = "ordinal") -> DataFrame:
@@ -94,18 +98,21 @@ def location_status(locations: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def add_locations(locations: DataFrame, new: DataFrame, order: Sequence[str] = ("ordinal",)) -> DataFrame:
-    """Insert the locations whose name is not taken; among equal new names the first is taken."""
-    filled = new
+    """Insert the locations whose name is not taken; among equal new names the first is taken.
+
+    A location needs a name: new ones without are left out.
+    """
+    filled = new.where(F.col("name").isNotNull())
     for name, value in LOCATION_DEFAULTS.items():
         default = F.lit(value)
         filled = filled.withColumn(name, F.coalesce(F.col(name), default) if name in new.columns else default)
     first = F.row_number().over(Window.partitionBy("name").orderBy(*order))
-    novel = spread_join(filled, locations.select("name"), "name", "left_anti").withColumn("_first", first)
+    novel = filled.join(locations.select("name"), "name", "left_anti").withColumn("_first", first)
     return locations.unionByName(novel.where("_first = 1").drop("_first"), allowMissingColumns=True)
 
 
 def remove_locations(locations: DataFrame, names: DataFrame) -> DataFrame:
-    return spread_join(locations, names.select("name"), "name", "left_anti")
+    return locations.join(names.select("name"), "name", "left_anti")
 
 
 def set_enabled(locations: DataFrame, names: DataFrame, enabled: bool) -> DataFrame:
@@ -113,4 +120,4 @@ def set_enabled(locations: DataFrame, names: DataFrame, enabled: bool) -> DataFr
     named = names.select("name").distinct().withColumn("_named", F.lit(True))
     switched = F.when(F.col("_named"), F.lit(enabled)).otherwise(F.col("enabled"))
     columns = locations.columns
-    return spread_join(locations, named, "name").withColumn("enabled", switched).select(*columns)
+    return locations.join(named, "name", "left").withColumn("enabled", switched).select(*columns)

@@ -1,7 +1,9 @@
 """Lookups by key.
 
 No side carries a broadcast hint: Spark broadcasts a side when its size is below the configured
-threshold and otherwise sorts and merges, splitting skewed keys at run time.
+threshold and otherwise sorts and merges. Adaptive execution splits a skewed key at run time, and so
+also null keys, which match nothing and stay. The joins use the key alone, so a projection that
+comes later still reaches the scan.
 """
 
 from __future__ import annotations
@@ -9,39 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-NULL_SPREAD = 1024
-
-
-def spread_join(df: DataFrame, table: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """Left or anti join on ``key`` that keeps rows with a null key from gathering in one task.
-
-    A second join column is a row hash modulo the number of ways to spread a key: one for a
-    real key, many for null, which matches nothing. It must depend on a column on both sides,
-    as Spark would fold a constant out of the join and of the partitioning.
-    """
-    hashable = [F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t]
-    ways = F.when(F.col(key).isNull(), NULL_SPREAD).otherwise(1)
-    left = df.withColumn("_spread", F.pmod(F.xxhash64(*hashable), ways))
-    right = table.withColumn("_spread", F.pmod(F.xxhash64(key), F.lit(1)))
-    return left.join(right, [key, "_spread"], how).drop("_spread")
-
-
 def attach_coordinates(df: DataFrame, locations: DataFrame, on: str = "search_location") -> DataFrame:
     """``lat`` and ``lng`` of each row's location, null where the location has none."""
     known = locations.select(
         F.col("name").alias(on), F.col("coordinates.lat").alias("lat"), F.col("coordinates.lng").alias("lng")
     )
-    return spread_join(df, known, on)
+    return df.join(known, on, "left")
 
 
 def attach_details(df: DataFrame, details: DataFrame, key: str = "id") -> DataFrame:
-    return spread_join(df, details, key)
+    return df.join(details, key, "left")
 
 
 def prefer_source(primary: DataFrame, fallback: DataFrame, key: str = "search_location") -> DataFrame:
     """Rows of ``primary``, and of ``fallback`` only where ``primary`` has none for the key."""
     served = primary.select(key).distinct()
-    return primary.unionByName(spread_join(fallback, served, key, "left_anti"))
+    return primary.unionByName(fallback.join(served, key, "left_anti"))
 
 
 def attach_parent_key(parents: DataFrame, parent_id: str, children: str = "reviews") -> DataFrame:
@@ -54,6 +39,6 @@ def attach_parent_key(parents: DataFrame, parent_id: str, children: str = "revie
 def validate_locations(df: DataFrame, locations: DataFrame, on: str = "name") -> DataFrame:
     """Add ``is_valid``: the name exists and is enabled."""
     enabled = locations.where("enabled").select(F.col("name").alias(on)).distinct()
-    flagged = spread_join(df, enabled.withColumn("_found", F.lit(True)), on)
+    flagged = df.join(enabled.withColumn("_found", F.lit(True)), on, "left")
     return flagged.withColumn("is_valid", F.col("_found").isNotNull()).drop("_found")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -98,16 +98,27 @@ def test_summary(df: DataFrame, not_null: Sequence[str], ranges: dict[str, tuple
     return sums.select(F.inline(F.array(*rows)))
 
 
-def listing_tests(df: DataFrame) -> dict[str, DataFrame]:
-    """The data tests of the raw listing table, each with its failing rows.
+def row_tests() -> dict[str, Column]:
+    """The data tests of the raw listing table that look at one row, true where it fails.
 
-    Every column below must be filled, ids must be unique, ratings must lie in [0, 5] and the
-    source must be a known feed.
+    Every column below must be filled and ratings must lie in [0, 5].
     """
     filled = ("id", "name", "rating", "data_source", "ingestion_timestamp")
     return {
-        **{f"not_null_{c}": test_not_null(df, c) for c in filled},
+        **{f"not_null_{c}": F.col(c).isNull() for c in filled},
+        "accepted_range_rating": ~F.col("rating").between(0, 5),
+    }
+
+
+def failing_rows(df: DataFrame, tests: Mapping[str, Column]) -> DataFrame:
+    """Each row once per test it fails, with the test's name in ``test``, in one pass."""
+    names = F.array_compact(F.array(*[F.when(failed, F.lit(name)) for name, failed in tests.items()]))
+    return df.withColumn("test", F.explode(names))
+
+
+def group_tests(df: DataFrame) -> dict[str, DataFrame]:
+    """The data tests that compare rows: ids must be unique and the source must be a known feed."""
+    return {
         "unique_id": test_unique(df, "id"),
-        "accepted_range_rating": test_accepted_range(df, "rating", 0, 5),
         "accepted_values_data_source": test_accepted_values(df, "data_source", FEEDS),
     }

@@ -11,8 +11,6 @@ from placemat.scratch import stage
 
 PART = "_part"
 POSITION = "_position"
-LARGEST_PRUNED_RANK = 1000  # default of spark.sql.optimizer.windowGroupLimitThreshold
-SALTS = 256
 ROWS_PER_PART_BITS = 33  # layout of monotonically_increasing_id: partition id above, position below
 
 
@@ -73,10 +71,9 @@ def surrogate_id(
     Rows are numbered by ``order`` and then ``key``, a unique column. With it only those columns
     are moved for the numbering, and only the rows without an id take part in the join that
     brings the number back. Without a key the other columns break ties and whole rows are moved.
-    When no id is missing nothing is numbered.
+    Numbers are those of the rows at the time of the call. A row without an id that comes in
+    later, before the frame is read, is kept and named after its key.
     """
-    if df.where(F.col("id").isNull()).isEmpty():
-        return df.withColumn(name, F.col("id"))
     made_up = F.concat(F.lit("unknown_"), F.col("_number").cast("string"))
     if key is None:
         ordered = [*order, *[c for c in df.columns if c not in order]]
@@ -86,8 +83,9 @@ def surrogate_id(
     narrow = df.select(*ordered, F.col("id").isNull().alias("_unnamed"))
     numbered = global_row_number(narrow, ordered, "_number", parts).where("_unnamed")
     kept = df.where(F.col("id").isNotNull()).withColumn(name, F.col("id"))
-    named = df.where(F.col("id").isNull()).join(numbered.select(key, made_up.alias(name)), key)
-    return kept.unionByName(named)
+    late = F.concat(F.lit("unknown_key_"), F.col(key).cast("string"))
+    named = df.where(F.col("id").isNull()).join(numbered.select(key, made_up.alias(name)), key, "left")
+    return kept.unionByName(named.withColumn(name, F.coalesce(name, late)))
 
 
 def top_per_location(
@@ -100,19 +98,12 @@ def top_per_location(
     """The best-rated ``k`` rows of each location.
 
     The rank filter lets Spark keep ``k`` rows per location in each task before the shuffle,
-    so a location holding a large share of the rows does not travel whole. Spark stops doing
-    so for a large ``k``; then the rows of a location are first ranked in salted groups.
+    so a location holding a large share of the rows does not travel whole. Spark does so for ``k``
+    below ``spark.sql.optimizer.windowGroupLimitThreshold``; raise that setting along with ``k``.
     """
     order = order or [F.desc_nulls_last("rating"), F.asc("row_key")]
-
-    def best(frame: DataFrame, *keys: str) -> DataFrame:
-        ranked = frame.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-        return ranked.where(F.col(name) <= k)
-
-    if k < LARGEST_PRUNED_RANK:
-        return best(df, by)
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
-    return best(best(df.withColumn("_salt", salt), by, "_salt").drop("_salt"), by)
+    ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(by).orderBy(*order)))
+    return ranked.where(F.col(name) <= k)
 
 
 def serving_top(df: DataFrame, n: int = 500, tie: str = "place_id") -> DataFrame:

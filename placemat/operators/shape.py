@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,9 +67,8 @@ def flatten_listings(df: DataFrame, source: str, at: Column | datetime | None =
     return stamp_source(flatten_json(df), source, at)
 
 
-def flatten_reviews(df: DataFrame, source: str, at: Column | datetime | None = None) -> DataFrame:
-    """One flat row per review; the parent key is already on each row."""
-    return stamp_source(flatten_json(df), source, at)
+#: One flat row per review; the parent key is already on each row.
+flatten_reviews = flatten_listings
 
 
 def standardize_name(df: DataFrame) -> DataFrame:
@@ -105,13 +105,15 @@ def canonicalize(
     df: DataFrame,
     mapping: Mapping[str, str] | None = None,
     extra: tuple[str, ...] = (),
+    defaults: Mapping[str, Any] | None = None,
 ) -> DataFrame:
     """Any flattened feed in the cleaned canonical columns.
 
     ``mapping`` names the input column behind a canonical one. An absent column gets its
-    default instead of failing, and so does an unreadable value. ``extra`` columns pass through.
+    default instead of failing, and so does an unreadable value; ``defaults`` replaces the value
+    an absent column gets. ``extra`` columns pass through.
     """
-    mapping = mapping or {}
+    mapping, own = mapping or {}, defaults or {}
 
     def given(name: str) -> Column | None:
         source = mapping.get(name, name)
@@ -119,7 +121,9 @@ def canonicalize(
 
     def pick(name: str, expression, default: Column) -> Column:
         value = given(name)
-        return default if value is None else expression(value)
+        if value is None:
+            return F.lit(own[name]) if name in own else default
+        return expression(value)
 
     named = standardize_name(df.withColumnRenamed(mapping["name"], "name") if "name" in mapping else df)
     text = F.lit(None).cast("string")

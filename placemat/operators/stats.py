@@ -26,15 +26,28 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def histogram(df: DataFrame, column: str = "rating", bins: int = 20, lo: float = 0.0, hi: float = 5.0) -> DataFrame:
-    """Rows in each of ``bins`` equal-width bins of [lo, hi]; the last bin includes ``hi``.
-
-    Values outside the bounds, and bins without rows, do not appear.
+def histogram(
+    df: DataFrame, column: str = "rating", bins: int = 20, lo: float | None = None, hi: float | None = None
+) -> DataFrame:
+    """Rows in each of ``bins`` equal-width bins of [lo, hi], empty ones too; the last includes ``hi``.
+
+    A bound that is not given is the column's own least or largest value, which takes one pass more.
+    A value belongs to the last bin whose ``bin_start`` it reaches. Values outside the bounds, null
+    and NaN count nowhere.
     """
-    width = (hi - lo) / bins
-    position = F.least(F.floor((F.col(column) - lo) / width).cast("int"), F.lit(bins - 1))
-    counts = df.where(F.col(column).between(lo, hi)).groupBy(position.alias("bin")).agg(F.count("*").alias("count"))
-    return counts.select("bin", (lo + F.col("bin") * width).alias("bin_start"), "count").orderBy("bin")
+    value = F.col(column)
+    if lo is None or hi is None:
+        found = df.where(~F.isnan(value.cast("double"))).agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
+        lo = found["lo"] if lo is None else lo
+        hi = found["hi"] if hi is None else hi
+        lo, hi = float(lo or 0.0), float(hi if hi is not None else lo or 0.0)
+    starts = [lo + (hi - lo) * i / bins for i in range(bins)]
+    edges = F.array(*[F.lit(float(e)) for e in starts])
+    position = (F.size(F.filter(edges, lambda e: e <= value)) - 1).cast("int")
+    counts = df.where(value.between(lo, hi)).groupBy(position.alias("bin")).agg(F.count("*").alias("count"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    filled = every.join(counts, "bin", "left").fillna(0, ["count"])
+    return filled.select("bin", F.element_at(edges, F.col("bin") + 1).alias("bin_start"), "count").orderBy("bin")
 
 
 def kpis(df: DataFrame, predicate: Column) -> DataFrame:
@@ -81,12 +94,27 @@ def price_stats(df: DataFrame) -> DataFrame:
 
 
 def ingest_stats(df: DataFrame, locations: DataFrame, feeds: Sequence[str] = FEEDS) -> DataFrame:
-    """Rows per location and feed; a location without rows appears with zeros."""
+    """Rows per location and feed, all rows of a location, the feeds it has rows of, and its status.
+
+    Every row counts somewhere: locations that are not listed, and null, have rows of their own
+    (``listed`` is false there). Status is 'success', or 'no records' for a listed location without rows.
+    """
     source = F.lower("data_source")
-    counts = df.groupBy("search_location").agg(*[F.count_if(source == f).alias(f"{f}_records") for f in feeds])
-    listed = locations.select(F.col("name").alias("search_location")).join(counts, "search_location", "left")
-    filled = listed.fillna(0, [f"{f}_records" for f in feeds])
-    return filled.withColumn("status", F.lit("success"))
+    counts = df.groupBy("search_location").agg(
+        *[F.count_if(source == f).alias(f"{f}_records") for f in feeds], F.count("*").alias("records")
+    )
+    listed = locations.select(F.col("name").alias("_name")).distinct()
+    both = counts.join(listed, F.col("search_location").eqNullSafe(F.col("_name")), "full_outer")
+    filled = both.fillna(0, [*[f"{f}_records" for f in feeds], "records"])
+    used = [F.when(F.col(f"{f}_records") > 0, F.lit(f)) for f in sorted(feeds)]
+    return filled.select(
+        F.coalesce("search_location", "_name").alias("search_location"),
+        *[f"{f}_records" for f in feeds],
+        "records",
+        F.array_compact(F.array(*used)).alias("sources_used"),
+        F.col("_name").isNotNull().alias("listed"),
+        F.when(F.col("records") > 0, "success").otherwise("no records").alias("status"),
+    )
 
 
 def run_summary(df: DataFrame, feeds: Sequence[str] = FEEDS) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from placemat.operators.quality import listing_tests
+from placemat.operators.quality import failing_rows, group_tests, row_tests
 from placemat.plans.models import dim_listings, staging_listings
-from placemat.sinks.tables import materialize_clustered, materialize_view, store_failures
+from placemat.sinks.tables import materialize_clustered, materialize_view, store_failures, write_overwrite
 
 
 def build_models(
@@ -21,14 +22,28 @@ def build_models(
     at: Column | datetime | None = None,
     key: str | None = None,
 ) -> DataFrame:
-    """Create the staging view and the dimension table over it; returns the table."""
-    staging = materialize_view(staging_listings(raw, at, key), view)
-    return materialize_clustered(dim_listings(staging, run_id, as_of, at), table, path=path)
+    """Write the staging table, a view over it and the dimension table; returns the dimension.
+
+    Ids made up from row numbers are fixed when the table is written, so the view gives every row of the
+    table it reads whenever it is read. Rows that come into ``raw`` later appear with the next run.
+    """
+    staging = write_overwrite(
+        staging_listings(raw, at, key), f"{view}_table", f"{path}/staging" if path else None
+    )
+    viewed = materialize_view(staging, view)
+    return materialize_clustered(
+        dim_listings(viewed, run_id, as_of, at), table, path=f"{path}/dimension" if path else None
+    )
 
 
 def run_tests(raw: DataFrame, path: str | None = None) -> dict[str, DataFrame]:
-    """Store the failing rows of each data test; a failure is a finding, not an error."""
-    return {
-        name: store_failures(failing, name, f"{path}/{name}" if path else None)
-        for name, failing in listing_tests(raw).items()
-    }
+    """Store the failing rows of each data test; a failure is a finding, not an error.
+
+    Tests of single rows share one pass and one table, apart by test; the others have a table each.
+    """
+    tests = row_tests()
+    rows = store_failures(failing_rows(raw, tests), "rows", f"{path}/rows" if path else None, "test")
+    stored = {name: rows.where(F.col("test") == name).drop("test") for name in tests}
+    for name, failing in group_tests(raw).items():
+        stored[name] = store_failures(failing, name, f"{path}/{name}" if path else None)
+    return stored

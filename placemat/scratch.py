@@ -6,28 +6,30 @@ checkpointed RDD it can be read back column by column.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: str | None = None
+_for_local_sessions: str | None = None
+
+
+def use_for_local_sessions(folder: str) -> None:
+    """Name the folder of local sessions that do not set ``spark.checkpoint.dir``."""
+    global _for_local_sessions
+    _for_local_sessions = folder
 
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it gets a temporary folder of its own.
+    Who sets it owns it: nothing here deletes tables, as a frame may still read them.
     """
-    global _local_folder
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="placemat-")
-    return _local_folder
+    if _for_local_sessions and spark.sparkContext.master.startswith("local"):
+        return _for_local_sessions
+    raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

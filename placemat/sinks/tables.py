@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _save(df: DataFrame, table: str, path: str | None) -> DataFrame:
+def _save(df: DataFrame, table: str, path: str | None, by: str | None = None) -> DataFrame:
     writer = df.write.mode("overwrite").format("parquet")
+    writer = writer.partitionBy(by) if by else writer
     (writer.option("path", path) if path else writer).saveAsTable(table)
     return df.sparkSession.read.table(table)
 
@@ -19,17 +20,20 @@ def write_overwrite(df: DataFrame, table: str, path: str | None = None) -> DataF
     return _save(df, table, path)
 
 
-def save_stats(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
-    """Replace an aggregate table."""
-    return _save(df, table, path)
+#: An aggregate table is replaced in the same way.
+save_stats = write_overwrite
+
 
+def store_failures(df: DataFrame, test_name: str, path: str | None = None, by: str | None = None) -> DataFrame:
+    """Keep the failing rows of a data test in a table of that name; failures do not raise.
 
-def store_failures(df: DataFrame, test_name: str, path: str | None = None) -> DataFrame:
-    """Keep the failing rows of a data test in a table of that name; failures do not raise."""
-    return _save(df, f"test_failures_{test_name}", path)
+    With ``by``, rows of several tests are kept apart by that column.
+    """
+    return _save(df, f"test_failures_{test_name}", path, by)
 
 
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
+    """A view that reads ``df`` anew each time; numbers that ``df`` has fixed stay fixed."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
 

@@ -1,4 +1,8 @@
-"""Readers. Schemas are always given, so no pass over the data is spent on inference."""
+"""Readers. Schemas are always given, so no pass over the data is spent on inference.
+
+Landed responses are JSON, one per line unless the option ``multiLine`` is set; reader options pass
+through. A response that cannot be read gives no record; ``unreadable_responses`` gives it instead.
+"""
 
 from __future__ import annotations
 
@@ -12,39 +16,65 @@ from placemat.operators.shape import places_v1_to_legacy
 from placemat.schema import ENVELOPE_SCHEMA, LOCATION, PLACE_LEGACY, PLACE_V1, SEED
 
 
+UNREADABLE = "_unreadable"
+
+
+def _responses(spark: SparkSession, path: str, schema: str, options: Mapping[str, str]) -> DataFrame:
+    return spark.read.schema(schema).options(**options).json(path)
+
+
+def unreadable_responses(
+    spark: SparkSession, path: str, schema: str = "status string", multi_line: bool = False
+) -> DataFrame:
+    """``path`` and ``text`` of the landed responses that are not JSON of the schema (DDL)."""
+    texts = spark.read.option("wholetext", multi_line).text(path).where(F.trim("value") != "")
+    parsed = F.from_json("value", f"{schema}, {UNREADABLE} string", {"columnNameOfCorruptRecord": UNREADABLE})
+    broken = texts.where(parsed.getField(UNREADABLE).isNotNull())
+    return broken.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+
+
 def _rows(responses: DataFrame, array: str) -> DataFrame:
     """One row per element of the array; a missing or empty array gives none."""
     return responses.select(F.explode(array).alias("_row")).select("_row.*")
 
 
-def read_business_json(spark: SparkSession, path: str, business: str) -> DataFrame:
+def read_business_json(spark: SparkSession, path: str, business: str, **options: str) -> DataFrame:
     """Businesses of landed search responses; ``business`` is the DDL of one record."""
-    return _rows(spark.read.schema(f"businesses array<struct<{_fields(business)}>>").json(path), "businesses")
+    schema = f"businesses array<struct<{_fields(business)}>>"
+    return _rows(_responses(spark, path, schema, options), "businesses")
 
 
-def read_places_legacy_json(spark: SparkSession, path: str) -> DataFrame:
+def read_places_legacy_json(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """Results of the landed legacy responses whose status is OK."""
-    responses = spark.read.schema(f"status string, results array<struct<{_fields(PLACE_LEGACY)}>>").json(path)
-    return _rows(responses.where("status = 'OK'"), "results")
+    schema = f"status string, results array<struct<{_fields(PLACE_LEGACY)}>>"
+    return _rows(_responses(spark, path, schema, options).where("status = 'OK'"), "results")
 
 
-def read_places_v1_json(spark: SparkSession, path: str) -> DataFrame:
+def read_places_v1_json(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """Places of landed new-style responses, in the legacy shape."""
-    responses = spark.read.schema(f"places array<struct<{_fields(PLACE_V1)}>>").json(path)
-    return places_v1_to_legacy(_rows(responses, "places"))
+    schema = f"places array<struct<{_fields(PLACE_V1)}>>"
+    return places_v1_to_legacy(_rows(_responses(spark, path, schema, options), "places"))
+
+
+def read_business_details_json(spark: SparkSession, path: str, detail: str, **options: str) -> DataFrame:
+    """Landed details of single businesses, one record per response without an envelope.
+
+    Records without an id, which is what an error response looks like, are left out.
+    """
+    return _responses(spark, path, detail, options).where(F.col("id").isNotNull())
 
 
-def read_reviews_json(spark: SparkSession, path: str, review: str) -> DataFrame:
+def read_reviews_json(spark: SparkSession, path: str, review: str, **options: str) -> DataFrame:
     """Reviews of landed responses, each with the id of its business."""
     schema = f"business_id string, reviews array<struct<{_fields(review)}>>"
-    responses = spark.read.schema(schema).json(path)
+    responses = _responses(spark, path, schema, options)
     return responses.select("business_id", F.explode("reviews").alias("_row")).select("_row.*", "business_id")
 
 
-def read_details_json(spark: SparkSession, path: str, detail: str) -> DataFrame:
+def read_details_json(spark: SparkSession, path: str, detail: str, **options: str) -> DataFrame:
     """Detail records of the landed responses whose status is OK, with the id asked for."""
     schema = f"place_id string, status string, result struct<{_fields(detail)}>"
-    responses = spark.read.schema(schema).json(path)
+    responses = _responses(spark, path, schema, options)
     return responses.where("status = 'OK'").select("place_id", "result.*")
 
 

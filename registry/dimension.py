@@ -84,17 +84,23 @@ def j5(spark, sf):
 
 @query(
     "j5_top_by_policy",
-    f"""WITH {S.RAW}, {S.LOCATIONS}, ranked AS (
+    f"""WITH {S.RAW}, {S.LOCATIONS}, listed AS (
+          SELECT name, case when ordinal % 11 = 0 then 'other' else priority end AS priority
+          FROM locations WHERE ordinal % 7 <> 0
+        ), ranked AS (
           SELECT row_key, search_location, rating, cast(row_number() OVER (
             PARTITION BY search_location ORDER BY rating DESC NULLS LAST, row_key) as int) AS rank FROM raw)
         SELECT row_key, search_location, rating, rank,
-          case priority when 'high' then 50 when 'medium' then 30 else 20 end AS request_limit
-        FROM ranked r JOIN locations l ON r.search_location = l.name
-        WHERE rank <= case priority when 'high' then 50 when 'medium' then 30 else 20 end""",
+          case priority when 'high' then 50 when 'medium' then 30 when 'low' then 20 else 5 end AS request_limit
+        FROM ranked r LEFT JOIN listed l ON r.search_location = l.name
+        WHERE rank <= case priority when 'high' then 50 when 'medium' then 30 when 'low' then 20 else 5 end""",
 )
 def j5_top(spark, sf):
+    """Every seventh location is not listed, and every eleventh has a priority the policy does not know."""
     listings = raw_listings(spark, sf).select("row_key", "search_location", "rating")
-    return loc.top_by_policy(listings, locations(spark, sf))
+    other = F.when(F.col("ordinal") % 11 == 0, "other").otherwise(F.col("priority"))
+    listed = locations(spark, sf).where("ordinal % 7 <> 0").withColumn("priority", other)
+    return loc.top_by_policy(listings, listed, unlisted_limit=5)
 
 
 @query(

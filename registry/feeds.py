@@ -72,6 +72,36 @@ def businesses(spark, sf):
     return files.read_business_json(spark, land(responses, "json", "business"), BUSINESS)
 
 
+@query(
+    "s1_unreadable_responses",
+    """SELECT concat('{"businesses": [{"id": "b_', cast(o_orderkey as varchar)) AS text FROM orders
+       WHERE o_orderkey % 50 = 7""",
+)
+def s1_unreadable(spark, sf):
+    """Every fiftieth response breaks off in the middle."""
+    broken = F.concat(F.lit('{"businesses": [{"id": "b_'), F.col("o_orderkey").cast("string"))
+    whole = F.concat(broken, F.lit('"}]}'))
+    lines = table_of(spark, sf, "orders").select(F.when(F.col("o_orderkey") % 50 == 7, broken).otherwise(whole).alias("value"))
+    found = files.unreadable_responses(spark, land(lines, "text", "broken"), "businesses array<struct<id: string>>")
+    return found.select("text")
+
+
+@query(
+    "s5_read_business_details_json",
+    """SELECT concat('b_', cast(o_orderkey as varchar)) AS id, o_orderstatus AS name, o_totalprice AS price
+       FROM orders WHERE o_orderkey % 6 <> 0""",
+)
+def s5_business(spark, sf):
+    """Records without an envelope; every sixth is an error without an id."""
+    key = F.concat(F.lit("b_"), F.col("o_orderkey").cast("string"))
+    records = table_of(spark, sf, "orders").select(
+        F.when(F.col("o_orderkey") % 6 != 0, key).alias("id"),
+        F.col("o_orderstatus").alias("name"),
+        F.col("o_totalprice").alias("price"),
+    )
+    return files.read_business_details_json(spark, land(records, "json", "business-details"), "id string, name string, price double")
+
+
 BUSINESS_SQL = f"""SELECT concat('b_', cast(o_orderkey as varchar), copy) AS id,
   case when o_orderkey % 89 <> 0 then concat('Place ', cast(o_custkey as varchar)) end AS name,
   round(o_totalprice / 80000.0 - 0.5, 1) + 0.0 AS rating, cast(o_custkey % 300 as int) AS review_count,
@@ -213,9 +243,8 @@ def p32_places(spark, sf):
         FROM raw LEFT JOIN locations ON raw.search_location = locations.name""",
 )
 def j1(spark, sf):
-    return lookup.attach_coordinates(
-        raw_listings(spark, sf).select("row_key", "search_location"), locations(spark, sf)
-    )
+    placed = lookup.attach_coordinates(raw_listings(spark, sf), locations(spark, sf))
+    return placed.select("row_key", "search_location", "lat", "lng")
 
 
 @query(
@@ -231,7 +260,8 @@ def j2(spark, sf):
     details = documents.join(table_of(spark, sf, "labels"), "doc_id", "left").withColumn(
         "id", F.concat(F.lit("rest_"), F.col("doc_id").cast("string"))
     )
-    return lookup.attach_details(raw_listings(spark, sf).select("row_key", "id"), details.drop("doc_id"))
+    detailed = lookup.attach_details(raw_listings(spark, sf), details.drop("doc_id"))
+    return detailed.select("row_key", "id", "lang", "n_chars", "quality", "toxic")
 
 
 @query(
@@ -299,22 +329,30 @@ def u2(spark, sf):
 
 # Reports of a run
 
-INGEST_SQL = """SELECT l.name AS search_location,
-    count(*) FILTER (lower(r.data_source) = 'yelp') AS yelp_records,
-    count(*) FILTER (lower(r.data_source) = 'google_places') AS google_places_records, 'success' AS status
-  FROM locations l LEFT JOIN raw r ON r.search_location = l.name GROUP BY l.name"""
+INGEST_SQL = """SELECT coalesce(search_location, name) AS search_location,
+    coalesce(yelp, 0) AS yelp_records, coalesce(google, 0) AS google_places_records, coalesce(n, 0) AS records,
+    concat_ws(',', case when google > 0 then 'google_places' end, case when yelp > 0 then 'yelp' end) AS sources_used,
+    name IS NOT NULL AS listed, case when n > 0 then 'success' else 'no records' end AS status
+  FROM (SELECT search_location, count(*) AS n, count(*) FILTER (lower(data_source) = 'yelp') AS yelp,
+          count(*) FILTER (lower(data_source) = 'google_places') AS google FROM raw GROUP BY search_location) AS c
+  FULL JOIN (SELECT DISTINCT name FROM listed) AS l ON search_location IS NOT DISTINCT FROM name"""
 
 
-@query("a3_ingest_stats", f"WITH {S.RAW}, {S.LOCATIONS} {INGEST_SQL}")
+@query("a3_ingest_stats", f"WITH {S.RAW}, {S.LOCATIONS}, listed AS (SELECT * FROM locations WHERE ordinal % 7 <> 0) {INGEST_SQL}")
 def a3(spark, sf):
-    return stats.ingest_stats(raw_listings(spark, sf), locations(spark, sf))
+    """Every seventh location is not listed."""
+    per_location = stats.ingest_stats(raw_listings(spark, sf), locations(spark, sf).where("ordinal % 7 <> 0"))
+    return per_location.withColumn("sources_used", F.concat_ws(",", "sources_used"))
+
+
+SOURCES_SQL = "string_agg(DISTINCT lower(data_source), ',' ORDER BY lower(data_source))"
 
 
 @query(
     "a4_run_summary",
     S.over_raw(
-        """SELECT count(*) AS records_processed, count(DISTINCT search_location) AS locations_processed,
-             'google_places,yelp' AS sources_used, cast(2 as int) AS total_sources FROM raw"""
+        f"""SELECT count(*) AS records_processed, count(DISTINCT search_location) AS locations_processed,
+             {SOURCES_SQL} AS sources_used, cast(count(DISTINCT lower(data_source)) as int) AS total_sources FROM raw"""
     ),
 )
 def a4(spark, sf):
@@ -352,14 +390,18 @@ def e1(spark, sf):
     return batch.run_batch(spark, feed_list(spark, sf), "e1_listings", fresh_path(spark, "e1"), at())
 
 
-REPORTS_SQL = f"""WITH raw AS ({COMBINED_SQL}), {S.LOCATIONS}, per_location AS ({INGEST_SQL})
+REPORTS_SQL = f"""WITH raw AS ({COMBINED_SQL}), {S.LOCATIONS}, listed AS (SELECT * FROM locations),
+    per_location AS ({INGEST_SQL}),
+    copies AS (SELECT * EXCLUDE (search_location), count(*) AS n FROM raw GROUP BY ALL)
   SELECT 'records' AS metric, cast(null as varchar) AS name, count(*) AS value FROM raw
   UNION ALL SELECT 'locations', null, count(DISTINCT search_location) FROM raw
-  UNION ALL SELECT 'sources', 'google_places,yelp', 2
+  UNION ALL SELECT 'sources', {SOURCES_SQL}, count(DISTINCT lower(data_source)) FROM raw
   UNION ALL SELECT 'yelp_records', search_location, yelp_records FROM per_location
+  UNION ALL SELECT 'google_places_records', search_location, google_places_records FROM per_location
+  UNION ALL SELECT 'all_records', null, cast(sum(records) as bigint) FROM per_location
   UNION ALL SELECT 'missing_values', 'name', count(*) FILTER (restaurant_name IS NULL) FROM raw
   UNION ALL SELECT 'missing_values', 'rating', count(*) FILTER (rating IS NULL) FROM raw
-  UNION ALL SELECT 'duplicate_records', null, 0"""
+  UNION ALL SELECT 'duplicate_records', null, cast(sum(n - 1) as bigint) FROM copies"""
 
 
 @query("e1_batch_reports", REPORTS_SQL)
@@ -373,5 +415,10 @@ def e1_reports(spark, sf):
         "'locations', cast(null as string), locations_processed, "
         "'sources', concat_ws(',', sources_used), cast(total_sources as bigint)) AS (metric, name, value)"
     )
-    located = reports.per_location.selectExpr("'yelp_records' AS metric", "search_location AS name", "yelp_records AS value")
-    return quality.unionByName(summary).unionByName(located)
+    located = reports.per_location.selectExpr(
+        "stack(2, 'yelp_records', search_location, yelp_records, "
+        "'google_places_records', search_location, google_places_records) AS (metric, name, value)"
+    )
+    whole = reports.per_location.selectExpr("'all_records' AS metric", "cast(null as string) AS name", "records")
+    whole = whole.groupBy("metric", "name").agg(F.sum("records").alias("value"))
+    return quality.unionByName(summary).unionByName(located).unionByName(whole)

@@ -17,7 +17,7 @@ from placemat.sinks import tables
 from registry import sql as S
 from registry.cleaning import STAR_RATING, rated
 from registry.core import query
-from registry.inputs import at, canonical_listings, centres, places, raw_listings
+from registry.inputs import LISTING, at, canonical_listings, centres, places, raw_listings, table_of
 
 
 def cleaned_raw(spark, sf):
@@ -79,10 +79,10 @@ def f4(spark, sf):
     return filters.search_name(raw_listings(spark, sf), "pLACE 1[0-4]+ ").select("row_key", "name")
 
 
-def _radius_sql(radius: str) -> str:
+def _radius_sql(radius: str, limit: str = "20") -> str:
     return S.over_places(
         f""", pairs AS (
-             SELECT c.name AS search_location, p.row_key, p.review_count, {radius} AS radius_m,
+             SELECT c.name AS search_location, p.row_key, p.review_count, {radius} AS radius_m, {limit} AS request_limit,
                2 * 6371000.0 * asin(least(1.0, sqrt(
                  pow(sin(radians(p.latitude - c.latitude) / 2), 2)
                  + cos(radians(c.latitude)) * cos(radians(p.latitude))
@@ -94,7 +94,7 @@ def _radius_sql(radius: str) -> str:
              FROM pairs WHERE d <= radius_m
            )
            SELECT search_location, row_key, review_count, round(d, 3) AS distance_m, cast(rank as int) AS rank
-           FROM ranked WHERE rank <= 20"""
+           FROM ranked WHERE rank <= request_limit"""
     )
 
 
@@ -111,10 +111,16 @@ def f8(spark, sf):
 
 @query(
     "f8_radius_filter_by_policy",
-    _radius_sql("case c.priority when 'high' then 5000 when 'medium' then 3000 else 2000 end"),
+    _radius_sql(
+        "case c.priority when 'high' then 8000 when 'medium' then 3000 else 2000 end",
+        "case c.priority when 'high' then 50 when 'medium' then 30 else 20 end",
+    ),
 )
 def f8_policy(spark, sf):
-    return _found(places(spark, sf), apply_priority_policy(centres(spark, sf)))
+    """Policy limits and radii, the high one widened beyond the default radius."""
+    policy = apply_priority_policy(centres(spark, sf))
+    wide = F.when(F.col("priority") == "high", 8000).otherwise(F.col("radius_m"))
+    return _found(places(spark, sf), policy.withColumn("radius_m", wide))
 
 
 # Reports
@@ -122,27 +128,47 @@ def f8_policy(spark, sf):
 @query(
     "a1_quality_metrics",
     S.over_raw(
-        """, listed AS (SELECT row_key, name, rating, price_level, categories FROM raw),
+        """, listed AS (SELECT name, rating, price_level, categories, data_source FROM raw),
            copies AS (SELECT *, count(*) AS n FROM listed GROUP BY ALL)
            SELECT 'total_records' AS metric, cast(null as varchar) AS "column", cast(count(*) as varchar) AS value FROM listed
            UNION ALL SELECT 'total_columns', null, '5'
            UNION ALL SELECT 'duplicate_records', null, cast(sum(n - 1) as varchar) FROM copies
-           UNION ALL SELECT 'missing_values', 'row_key', cast(count(*) FILTER (row_key IS NULL) as varchar) FROM listed
+           UNION ALL SELECT 'missing_values', 'data_source', cast(count(*) FILTER (data_source IS NULL) as varchar) FROM listed
            UNION ALL SELECT 'missing_values', 'name', cast(count(*) FILTER (name IS NULL) as varchar) FROM listed
            UNION ALL SELECT 'missing_values', 'rating', cast(count(*) FILTER (rating IS NULL) as varchar) FROM listed
            UNION ALL SELECT 'missing_values', 'price_level', cast(count(*) FILTER (price_level IS NULL) as varchar) FROM listed
            UNION ALL SELECT 'missing_values', 'categories', cast(count(*) FILTER (categories IS NULL) as varchar) FROM listed
-           UNION ALL SELECT * FROM (VALUES ('data_type', 'row_key', 'bigint'), ('data_type', 'name', 'string'),
+           UNION ALL SELECT * FROM (VALUES ('data_type', 'data_source', 'string'), ('data_type', 'name', 'string'),
              ('data_type', 'rating', 'double'), ('data_type', 'price_level', 'int'),
-             ('data_type', 'categories', 'string'), ('missing_required_column', 'data_source', 'missing')) AS v"""
+             ('data_type', 'categories', 'string')) AS v"""
     ),
 )
 def a1(spark, sf):
     return quality.quality_metrics(
-        raw_listings(spark, sf).select("row_key", "name", "rating", "price_level", "categories")
+        raw_listings(spark, sf).select("name", "rating", "price_level", "categories", "data_source")
     )
 
 
+@query(
+    "a1_quality_metrics_all_columns",
+    S.over_raw(
+        ", twice AS (SELECT * FROM raw UNION ALL SELECT * FROM raw WHERE row_key % 10 = 0), "
+        "copies AS (SELECT *, count(*) AS n FROM twice GROUP BY ALL) "
+        "SELECT 'total_records' AS metric, cast(null as varchar) AS \"column\", cast(count(*) as varchar) AS value FROM twice "
+        f"UNION ALL SELECT 'total_columns', null, '{len(LISTING)}' "
+        "UNION ALL SELECT 'duplicate_records', null, cast(sum(n - 1) as varchar) FROM copies "
+        + " ".join(
+            f"UNION ALL SELECT 'missing_values', '{c}', cast(count(*) FILTER ({c} IS NULL) as varchar) FROM twice"
+            for c in LISTING
+        )
+    ),
+)
+def a1_all(spark, sf):
+    """All columns, with every tenth listing twice; the types are checked by the smaller query."""
+    listings = raw_listings(spark, sf)
+    return quality.quality_metrics(listings.unionByName(listings.where("row_key % 10 = 0"))).where("metric <> 'data_type'")
+
+
 @query(
     "a2_duplicate_count",
     S.over_raw(
@@ -204,13 +230,38 @@ for number, column in ((9, "price_category"), (10, "data_source"), (11, "busines
 @query(
     "a12_histogram",
     S.over_cleaned(
-        """SELECT bin, 0.25e0 * bin AS bin_start, count(*) AS "count" FROM (
-             SELECT least(cast(floor(rating / 0.25e0) as int), 19) AS bin FROM cleaned WHERE rating BETWEEN 0 AND 5
-           ) AS b GROUP BY bin"""
+        """SELECT cast(i as int) AS bin, 5e0 * i / 20 AS bin_start, count(rating) AS "count"
+           FROM range(20) AS r(i) LEFT JOIN cleaned
+             ON rating >= 5e0 * i / 20 AND (rating < 5e0 * (i + 1) / 20 OR (i = 19 AND rating <= 5)) GROUP BY i"""
     ),
 )
 def a12(spark, sf):
-    return stats.histogram(rated(spark, sf))
+    return stats.histogram(rated(spark, sf), lo=0.0, hi=5.0)
+
+
+@query(
+    "a12_histogram_tenths",
+    """SELECT cast(i as int) AS bin, 1e0 * i / 10 AS bin_start, count(v) AS "count"
+       FROM range(10) AS r(i) LEFT JOIN (SELECT (o_orderkey % 13) / 10e0 AS v FROM orders WHERE o_orderkey % 13 <> 4) AS o
+         ON v >= 1e0 * i / 10 AND (v < 1e0 * (i + 1) / 10 OR (i = 9 AND v <= 1)) GROUP BY i""",
+)
+def a12_tenths(spark, sf):
+    """Edges that have no exact binary form, an empty bin and values beyond the last."""
+    tenths = table_of(spark, sf, "orders").where("o_orderkey % 13 <> 4").selectExpr("(o_orderkey % 13) / 10e0 AS v")
+    return stats.histogram(tenths, "v", 10, 0.0, 1.0)
+
+
+@query(
+    "a12_histogram_own_range",
+    S.over_raw(
+        """, edges AS (SELECT min(rating) AS lo, max(rating) AS hi FROM raw)
+           SELECT cast(i as int) AS bin, lo + (hi - lo) * i / 4 AS bin_start, count(rating) AS "count"
+           FROM range(4) AS r(i) CROSS JOIN edges LEFT JOIN raw
+             ON rating >= lo + (hi - lo) * i / 4 AND (i = 3 OR rating < lo + (hi - lo) * (i + 1) / 4) GROUP BY i, lo, hi"""
+    ),
+)
+def a12_own(spark, sf):
+    return stats.histogram(raw_listings(spark, sf), "rating", 4)
 
 
 @query(
@@ -443,11 +494,21 @@ def numeric(spark, sf):
     return listings.withColumns({c: F.col(c).try_cast("double") for c in ("latitude", "longitude")})
 
 
-@query("l2_train_rating_model")
+@query(
+    "l2_train_rating_model",
+    S.over_raw(
+        """SELECT row_key, rating, true AS in_range FROM raw
+           WHERE price_level IS NOT NULL AND user_ratings_total IS NOT NULL
+             AND try_cast(latitude as double) IS NOT NULL AND try_cast(longitude as double) IS NOT NULL"""
+    ),
+)
 def l2(spark, sf):
+    """Rows the model scores: those with every input; a forest's answers lie between the labels it saw."""
     listings = numeric(spark, sf)
     model = features.train_rating_model(listings)
-    return model.transform(listings).select("row_key", "rating", "prediction")
+    seen = listings.agg(F.min("rating").alias("lo"), F.max("rating").alias("hi")).first()
+    in_range = F.col("prediction").between(seen["lo"], seen["hi"]).alias("in_range")
+    return model.transform(listings).select("row_key", "rating", in_range)
 
 
 @query(
