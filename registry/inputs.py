@@ -169,8 +169,19 @@ def messages(spark: SparkSession, sf: str) -> DataFrame:
     return timed.select("key", value.alias("value"), F.col("sent").alias("timestamp"))
 
 
+_landed: list[tuple[str, str, DataFrame, str]] = []
+
+
 def land(df: DataFrame, format: str, label: str, **options) -> str:
-    """Write ``df`` where a reader or a stream can pick it up and return the folder."""
+    """Write ``df`` where a reader or a stream can pick it up and return the folder.
+
+    A session lands the same rows of the same tables once, so that repeated runs time the reader.
+    """
+    run = df.sparkSession.sparkContext.applicationId
+    for other, name, frame, path in _landed:
+        if (other, name) == (run, label) and frame.sameSemantics(df):
+            return path
     path = fresh_path(df.sparkSession, label)
     df.write.format(format).options(**options).save(path)
+    _landed.append((run, label, df, path))
     return path

@@ -124,9 +124,10 @@ def t4(spark, sf):
 @query(
     "t5_listing_streams",
     S.over_events(
-        f""", {WINDOWS_SQL} SELECT 'raw' AS output, count(*) AS rows, count(*) AS listings FROM enriched
-            UNION ALL SELECT 'analytics', count(*), cast(sum(restaurant_count) as bigint) FROM windows
-            WHERE window_end <= {LATE}"""
+        f""", {WINDOWS_SQL} SELECT 'raw' AS output, key, id, city, data_source, rating,
+              cast(null as timestamp) AS window_start, cast(1 as bigint) AS listings FROM enriched
+            UNION ALL SELECT 'analytics', null, null, city, data_source, avg_rating, window_start, restaurant_count
+            FROM windows WHERE window_end <= {LATE}"""
     ),
 )
 def t5(spark, sf):
@@ -136,14 +137,15 @@ def t5(spark, sf):
         message_stream(spark, sf), table, checkpoints, path=path, available_now=True, at=at()
     ):
         started.awaitTermination()
-    raw = spark.read.schema("key string").parquet(f"{path}/{table}")
-    windows = spark.read.schema("restaurant_count bigint").parquet(f"{path}/{table}_analytics")
-    count = F.count("*").alias("rows")
-    return raw.agg(count, F.count("*").alias("listings")).select(F.lit("raw").alias("output"), "rows", "listings").union(
-        windows.agg(count, F.coalesce(F.sum("restaurant_count"), F.lit(0)).alias("listings")).select(
-            F.lit("analytics").alias("output"), "rows", "listings"
-        )
+    raw = spark.read.schema("key string, id string, city string, data_source string, rating double").parquet(f"{path}/{table}")
+    schema = "window_start timestamp, city string, data_source string, restaurant_count bigint, avg_rating double"
+    windows = spark.read.schema(schema).parquet(f"{path}/{table}_analytics")
+    each = raw.select(F.lit("raw").alias("output"), "*", F.lit(1).cast("bigint").alias("listings"))
+    counted = windows.select(
+        F.lit("analytics").alias("output"), "city", "data_source", F.round("avg_rating", 6).alias("rating"),
+        "window_start", F.col("restaurant_count").alias("listings"),
     )
+    return plain_times(each.unionByName(counted, allowMissingColumns=True), "window_start")
 
 
 @query("k2_write_stream_append", S.over_events(f"SELECT key, case when {GOOD} then id end AS id FROM sent"))
