@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from placemat.llm.core import shuffle_partitions
 
-BLOCKS_PER_PARTITION = 4
+BLOCKS_PER_PARTITION = 2
 
 
 def blocks_of(docs: DataFrame) -> int:
