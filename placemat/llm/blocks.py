@@ -29,12 +29,6 @@ def block_number(docs: DataFrame, key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(blocks_of(docs))).cast("int")
 
 
-def in_blocks(docs: DataFrame, key: str) -> DataFrame:
-    """``docs`` with ``block``, shuffled by it. Read all its columns wherever its exchange shall be shared."""
-    parts = shuffle_partitions(docs.sparkSession)
-    return docs.withColumn("block", block_number(docs, F.col(key))).repartition(parts, "block")
-
-
 def squeeze(data: bytes) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(data)
 
@@ -44,7 +38,7 @@ def unsqueeze(data: bytes) -> bytes:
 
 
 #: Rows a task holds before it packs them, in bytes of Arrow data.
-PACK_BYTES = 48 << 20
+PACK_BYTES = 16 << 20
 
 
 def pack_rows(rows: pa.Table) -> bytes:

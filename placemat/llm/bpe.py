@@ -1,8 +1,8 @@
 """BPE encoding and decoding over a table of distinct words.
 
 Texts are cut at ASCII white space, which this kind of vocabulary drops and never joins across. Each block of
-documents lists its distinct words by bucket (a hash of the word); a bucket brings the lists of all blocks together
-and encodes each distinct word once; the ids go back to the blocks and are put where the word stands. Decoding looks
+documents lists its distinct words by bucket (a hash of the word), in order; a bucket brings the lists of all blocks
+together and encodes each distinct word once; the ids go back to the blocks and are put where the word stands. Decoding looks
 every id up in the table of pieces, whose size is the vocabulary's, and joins the pieces by a space, as the tokenizer
 does that has no decoder.
 
@@ -13,94 +13,101 @@ gives an empty result. A text without white space is one word, however long.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from placemat.llm.blocks import blocks_of, in_blocks, squeeze, unsqueeze
-from placemat.llm.tokens import ID, vocabulary_text
+from placemat.llm.blocks import blocks_of, packed_blocks, squeeze, unpack_rows, unsqueeze
+from placemat.llm.tokens import ID, load_tokenizer, slices, vocabulary_text
 
 VOCABULARY = "word_bpe_49k.json"
-#: Distinct words a task holds before it hands its lists on; a word may then be listed twice.
-MOST_WORDS = 1_000_000
 WORDS_AT_ONCE = 5000
 
 
-def _tokenizer(vocabulary: str) -> Tokenizer:
-    tokenizer = Tokenizer.from_str(vocabulary)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return tokenizer
-
-
-def _word_lists(blocked: DataFrame, buckets: int) -> DataFrame:
-    """``block, bucket, words``: the distinct words of a block, space-joined and compressed."""
-
-    def lists(words: dict[int, set[bytes]]) -> pa.RecordBatch:
-        out: list[list] = [[], [], []]
-        for block, own in words.items():
-            by_bucket: dict[int, list[bytes]] = {}
-            for w in own:
-                by_bucket.setdefault(xxhash.xxh64_intdigest(w) % buckets, []).append(w)
-            for bucket, some in by_bucket.items():
-                out[0].append(block)
-                out[1].append(bucket)
-                out[2].append(squeeze(b" ".join(some)))
-        kinds = (pa.int32(), pa.int32(), pa.binary())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["block", "bucket", "words"]
-        )
+def words_by_bucket(texts: list[bytes], buckets: int) -> dict[int, list[bytes]]:
+    """Distinct words in order, by bucket."""
+    distinct: set[bytes] = set()
+    for text in texts:
+        distinct.update(text.split())
+    out: dict[int, list[bytes]] = {}
+    for word in sorted(distinct):
+        out.setdefault(xxhash.xxh64_intdigest(word) % buckets, []).append(word)
+    return out
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[int, set[bytes]] = {}
-        for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
-            for block, text in zip(batch.column("block").to_pylist(), texts, strict=True):
-                words.setdefault(block, set()).update((text.as_py() or b"").split())
-            if sum(map(len, words.values())) > MOST_WORDS:
-                yield lists(words)
-                words = {}
-        yield lists(words)
 
-    return blocked.mapInArrow(read, "block int, bucket int, words binary")
+def _planes(values: np.ndarray) -> bytes:
+    """All lowest bytes, then all second ones, and so on, which compresses better."""
+    return values.astype(ID).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(ID).reshape(-1)
+
+
+def _texts(rows: pa.Table) -> list[bytes]:
+    return [t.as_py() or b"" for t in rows.column("text").cast(pa.binary())]
+
+
+def _word_lists(blocks: DataFrame, buckets: int) -> DataFrame:
+    """``block, bucket, words``: the distinct words of a block in order, space-joined and compressed."""
+
+    def read(own: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
+        lists = words_by_bucket(_texts(unpack_rows(own.column("payload"))), buckets)
+        block = own.column("block")[0].as_py()
+        return pa.table(
+            {
+                "block": pa.array([block] * len(lists), pa.int32()),
+                "bucket": pa.array(list(lists), pa.int32()),
+                "words": pa.array([squeeze(b" ".join(w)) for w in lists.values()], pa.binary()),
+            }
+        )
+
+    return blocks.groupBy("block").applyInArrow(read, "block int, bucket int, words binary")
 
 
 def _encoded_lists(lists: DataFrame, vocabulary: str) -> DataFrame:
-    """``block, words, ids``: for each list, the number of ids of every word, then all ids, compressed."""
+    """``block, bucket, ids``: for each list the number of ids of every word, and all ids, compressed."""
+
+    loaded: list = []  # one tokenizer for all buckets of a task
 
     def encode(group: pa.Table) -> pa.Table:
-        tokenizer = _tokenizer(vocabulary)
+        if not loaded:
+            loaded.append(load_tokenizer(vocabulary))
+        tokenizer = loaded[0]
         asked = [unsqueeze(x).split() for x in group.column("words").to_pylist()]
         distinct = list(set().union(*asked))
-        known: dict[bytes, bytes] = {}
+        known: dict[bytes, list[int]] = {}
         for at in range(0, len(distinct), WORDS_AT_ONCE):
             some = distinct[at : at + WORDS_AT_ONCE]
             found = tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            for w, e in zip(some, found, strict=True):
-                known[w] = np.array(e.ids, ID).tobytes()
+            known.update(zip(some, [e.ids for e in found], strict=True))
         answers = []
         for words in asked:
             ids = [known[w] for w in words]
-            counts = np.array([len(x) // 4 for x in ids], ID).tobytes()
-            answers.append(squeeze(counts + b"".join(ids)))
-        return pa.table({"block": group.column("block"), "words": group.column("words"), "ids": pa.array(answers, pa.binary())})
+            row = np.array([len(words), *map(len, ids), *chain.from_iterable(ids)], ID)
+            answers.append(squeeze(_planes(row)))
+        return pa.table(
+            {"block": group.column("block"), "bucket": group.column("bucket"), "ids": pa.array(answers, pa.binary())}
+        )
 
-    return lists.groupBy("bucket").applyInArrow(encode, "block int, words binary, ids binary")
+    return lists.groupBy("bucket").applyInArrow(encode, "block int, bucket int, ids binary")
 
 
-def _table_of(lists: pa.Table) -> dict[bytes, bytes]:
-    """Ids by word, of all lists of a block."""
+def _table_of(lists: dict[int, list[bytes]], answers: pa.Table) -> dict[bytes, bytes]:
+    """Ids by word, of all words of a block."""
     table: dict[bytes, bytes] = {}
-    for words, ids in zip(lists.column("words").to_pylist(), lists.column("ids").to_pylist(), strict=True):
-        own, data = unsqueeze(words).split(), unsqueeze(ids)
-        ends = 4 * (len(own) + np.cumsum(np.frombuffer(data, ID, len(own)), dtype=np.int64))
-        at = 4 * len(own)
-        for w, end in zip(own, ends.tolist(), strict=True):
-            table[w] = data[at:end]
+    for bucket, ids in zip(answers.column("bucket").to_pylist(), answers.column("ids").to_pylist(), strict=True):
+        row = _from_planes(unsqueeze(ids))
+        n = int(row[0])
+        ends = (4 * np.cumsum(row[1 : n + 1], dtype=np.int64)).tolist()
+        data, at = row[n + 1 :].tobytes(), 0
+        for word, end in zip(lists[bucket], ends, strict=True):
+            table[word] = data[at:end]
             at = end
     return table
 
@@ -110,22 +117,25 @@ def encode_documents(
 ) -> DataFrame:
     """``doc_id, ids``: ids as little-endian unsigned 32-bit integers."""
     vocabulary = vocabulary or vocabulary_text(VOCABULARY)
+    buckets = blocks_of(docs)
     read = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    blocked = in_blocks(read, "doc_id")
-    answers = _encoded_lists(_word_lists(blocked, blocks_of(docs)), vocabulary)
+    blocks = packed_blocks(read, "doc_id")
+    answers = _encoded_lists(_word_lists(blocks, buckets), vocabulary)
 
     def place(own: pa.Table, lists: pa.Table) -> pa.Table:
-        table = _table_of(lists)
-        texts = own.column("text").cast(pa.binary())
-        ids = [b"".join([table[w] for w in (t.as_py() or b"").split()]) for t in texts]
-        return pa.table({"doc_id": own.column("doc_id"), "ids": pa.array(ids, pa.binary())})
+        pa.default_memory_pool().release_unused()
+        rows = unpack_rows(own.column("payload"))
+        texts = _texts(rows)
+        table = _table_of(words_by_bucket(texts, buckets), lists)
+        ids = [b"".join([table[w] for w in t.split()]) for t in texts]
+        return pa.table({"doc_id": rows.column("doc_id"), "ids": pa.array(ids, pa.binary())})
 
-    return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(place, "doc_id long, ids binary")
+    return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(place, "doc_id long, ids binary")
 
 
 def pieces_by_id(vocabulary: str) -> list[bytes | None]:
     """The piece of every id; None where the vocabulary has none."""
-    tokenizer = _tokenizer(vocabulary)
+    tokenizer = load_tokenizer(vocabulary)
     found = {i: p.encode() for p, i in tokenizer.get_vocab(with_added_tokens=True).items()}
     return [found.get(i) for i in range(max(found, default=-1) + 1)]
 
@@ -137,13 +147,13 @@ def decode_documents(encoded: DataFrame, vocabulary: str | None = None) -> DataF
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = pieces_by_id(vocabulary)
         for batch in batches:
-            out = []
-            for ids in batch.column("ids"):
-                found = map(pieces.__getitem__, np.frombuffer(ids.as_py(), ID).tolist())
-                out.append(b" ".join(found))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("ids"), pa.array(out, pa.binary()).cast(pa.string())],
-                ["doc_id", "ids", "decoded"],
-            )
+            for few in slices(batch, "ids"):
+                out = []
+                for ids in few.column("ids"):
+                    found = map(pieces.__getitem__, np.frombuffer(ids.as_py(), ID).tolist())
+                    out.append(b" ".join(found).decode())
+                yield pa.RecordBatch.from_arrays(
+                    [few.column("doc_id"), few.column("ids"), pa.array(out, pa.string())], ["doc_id", "ids", "decoded"]
+                )
 
     return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id long, ids binary, decoded string")

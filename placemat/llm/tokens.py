@@ -73,7 +73,7 @@ class ByteLevelEncoder:
 
 
 def slices(batch: pa.RecordBatch, text: str) -> Iterable[pa.RecordBatch]:
-    """The batch in runs of rows whose texts add up to a few MB (at least one row each)."""
+    """The batch in runs of rows whose texts (or ids) add up to a few MB, at least one row each."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     group = np.cumsum(sizes.astype(np.int64)) // BYTES_AT_ONCE
     cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), batch.num_rows]
