@@ -18,6 +18,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from placemat.llm.tokens import END_ID, ID, VOCABULARY, ByteLevelEncoder, slices
 from placemat.scratch import stage
 
 CAPACITY = 1024
-PIECES = "doc_id long, piece int, start long, length int, ids binary, part int, nth long"
+PIECES = "doc_id long, piece int, start long, length int, packed binary, part int, nth long"
 
 
 class Group(NamedTuple):
@@ -167,11 +168,20 @@ def cut_points(n: int, capacity: int) -> list[int]:
     return sorted({0, *range(n, 0, -capacity), n})
 
 
+def by_planes(ids: bytes) -> bytes:
+    """The ids' lowest bytes, then their second ones, and so on; most of the higher ones are zero."""
+    return np.frombuffer(ids, np.uint8).reshape(-1, ID.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes) -> bytes:
+    return np.frombuffer(data, np.uint8).reshape(ID.itemsize, -1).T.tobytes()
+
+
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, key: str, text: str) -> DataFrame:
-    """Pieces with their ids; ``nth`` numbers those of one length within the task ``part`` that made them."""
+    """Pieces with their ids, compressed; ``nth`` numbers those of one length in the task ``part`` that made them."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ByteLevelEncoder(vocabulary)
+        encoder, packer = ByteLevelEncoder(vocabulary), zstandard.ZstdCompressor(level=3)
         part = TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         end = np.array([END_ID], ID).tobytes()
@@ -183,14 +193,15 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, key: str, text
                     ids += end
                     cuts = cut_points(len(ids) // 4, capacity)
                     for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                        row = (doc, k, a, b - a, ids[4 * a : 4 * b], part, seen[b - a])
+                        packed = packer.compress(by_planes(ids[4 * a : 4 * b]))
+                        row = (doc, k, a, b - a, packed, part, seen[b - a])
                         seen[b - a] += 1
                         for column, value in zip(out, row, strict=True):
                             column.append(value)
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
-                    ["doc_id", "piece", "start", "length", "ids", "part", "nth"],
+                    ["doc_id", "piece", "start", "length", "packed", "part", "nth"],
                 )
 
     read = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -218,17 +229,19 @@ def pack_documents(
     firsts = made.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = zstandard.ZstdDecompressor()
         for b in batches:
             numbers = b.column("number").to_numpy()
             sequence, offset = places.find(b.column("length").to_numpy(), numbers)
-            kept = ["doc_id", "piece", "start", "length", "ids"]
+            ids = [from_planes(reader.decompress(p)) for p in b.column("packed").to_pylist()]
+            kept = ["doc_id", "piece", "start", "length"]
             yield pa.RecordBatch.from_arrays(
-                [*[b.column(c) for c in kept], pa.array(sequence), pa.array(offset)],
-                [*kept, "sequence_id", "offset"],
+                [*[b.column(c) for c in kept], pa.array(ids, pa.binary()), pa.array(sequence), pa.array(offset)],
+                [*kept, "ids", "sequence_id", "offset"],
             )
 
     numbered = pieces.join(firsts, ["length", "part"]).select(
-        "doc_id", "piece", "start", "length", "ids", (F.col("first") + F.col("nth")).alias("number")
+        "doc_id", "piece", "start", "length", "packed", (F.col("first") + F.col("nth")).alias("number")
     )
     return numbered.mapInArrow(
         settle, "doc_id long, piece int, start long, length int, ids binary, sequence_id long, offset long"
