@@ -44,7 +44,7 @@ PATTERNS: tuple[tuple[str, str], ...] = (
     ("person", rf"(?<!\w)(?:{MALE}|{FEMALE}|{EITHER})\.? ({_WORD}+(?:[ -]{_WORD}+){{0,2}})"),
 )
 #: True of every text with an entity, for the scan; digits may be parted by what the patterns allow.
-MAYBE = rf"@|\d(?:[ .()-]{{0,2}}\d){{3}}|[A-Z]{{2}}\d\d ?[A-Z0-9]{{4}}|(?:{MALE}|{FEMALE}|{EITHER})\.? \p{{IsUppercase}}"
+MAYBE = rf"@|\d(?:[ .()-]{{0,2}}\d){{3}}|[A-Z]{{2}}\d\d ?[A-Z0-9]{{4}}|(?=[MHSFDPгκ])(?:{MALE}|{FEMALE}|{EITHER})\.? \p{{IsUppercase}}"
 DIGITS = ("ip", "card", "ssn", "phone")
 
 # Names by script and gender.
