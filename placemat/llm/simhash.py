@@ -208,7 +208,9 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         "fp", "first", F.coalesce("smallest", "fp").alias("group")
     )
     named = placed.groupBy("group").agg(F.min("first").alias("component_id"))
-    return found.join(placed.select("fp", "group"), "fp").join(named, "group").select("doc_id", "fp", "component_id")
+    # A group is joined once per distinct fingerprint, before the copies come in.
+    component = placed.join(named, "group").select("fp", "component_id")
+    return found.join(component, "fp").select("doc_id", "fp", "component_id")
 
 
 def hex_text(fp: Column) -> Column:
