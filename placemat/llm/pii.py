@@ -3,8 +3,9 @@
 An entity is its kind and canonical value (digits alone, or lower case), so every mention of it anywhere gets the same
 surrogate: numbers are written into the mention's own punctuation, names and addresses follow its case. A surrogate
 is drawn from a keyed hash of the entity and an attempt number, of the same length, script, gender and validity
-(card check digit, IBAN check digits, address ranges). Distinct entities are compared over the whole corpus: an
-attempt that hits a detected original, or a surrogate someone else has, is drawn again, until none is left.
+(card check digit, IBAN check digits, address ranges); the domain of an address ends in the reserved ``example``.
+Distinct entities are compared over the whole corpus: an attempt that hits a detected original, or a surrogate
+someone else has, is drawn again, until none is left. Where a form runs out of values, later attempts are longer.
 
 Only texts that may hold an entity are shuffled, once, in blocks; the rest pass untouched. Null texts stay null,
 empty ones empty. Rows may repeat. An empty table gives an empty result.
@@ -162,19 +163,24 @@ def surrogate(key: str, kind: str, canonical: str, attempt: int) -> str:
     draw = _draws(key, kind, canonical, attempt)
     if kind == "email":
         local, _, domain = canonical.partition("@")
-        labels = domain.split(".")
-        tail = ["example", ("com", "net", "org")[draw(3)]]
-        return f"{_shaped(local, draw)}@{'.'.join([_shaped(x, draw) for x in labels[:-2]] + tail)}"
+        labels = [_shaped(x, draw) for x in domain.split(".")[:-1]]
+        longer = local + next((c for c in local if c.isalpha()), "a") * (attempt // 4)
+        return f"{_shaped(longer, draw)}@{'.'.join([*labels, 'example'])}"
+    if kind not in ("ip", "person"):
+        # Numbers run out where a corpus has about half of all of their form: then digits are added at the end.
+        valid = kind == "card" and luhn(canonical) == 0
+        canonical += "0" * (attempt // 8)
     if kind == "iban":
         return _iban(canonical, draw)
     if kind == "ip":
         first = canonical.split(".")[0]
-        return ".".join([first if first in ("10", "127") else str(1 + draw(223)), *[str(draw(256)) for _ in range(3)]])
+        keep = first in ("10", "127") and attempt < 8
+        return ".".join([first if keep else str(1 + draw(223)), *[str(draw(256)) for _ in range(3)]])
     if kind == "card":
         body = canonical[0] + "".join(str(draw(10)) for _ in canonical[2:])
         check = next(d for d in "0123456789" if luhn(body + d) == 0)
         wrong = str((int(check) + 1 + draw(9)) % 10)
-        return body + (check if luhn(canonical) == 0 else wrong)
+        return body + (check if valid else wrong)
     if kind == "person":
         gender, _, name = canonical.partition(":")
         script = script_of(name[0])
@@ -195,12 +201,12 @@ def rendered(kind: str, mention: str, value: str) -> str:
     """The surrogate in the punctuation and case of the mention."""
     if kind in DIGITS and kind != "ip":
         digits = iter(value)
-        return "".join(next(digits) if c.isdecimal() else c for c in mention)
+        return "".join([*(next(digits) if c.isdecimal() else c for c in mention), *digits])
     if kind == "ip":
         return value
     if kind == "iban":
         letters = iter(value.upper())
-        return "".join(c if c == " " else next(letters) for c in mention)
+        return "".join([*(c if c == " " else next(letters) for c in mention), *letters])
     if kind == "person":
         value = value.partition(":")[2].title()
     letters = [c for c in mention.partition("@")[0] if c.isalpha()]

@@ -50,6 +50,34 @@ def test_distinct_and_same_everywhere(spark):
     assert not {(k, v) for (k, _), v in forward.items()} & set(forward)
 
 
+def test_short_addresses_of_many_domains(spark):
+    """More two-letter addresses than one reserved domain has, and more one-letter ones than any form of their length."""
+    two = [f"{p}@firm{i}.com" for i in range(1500) for p in ("hr", "it")]
+    one = [f"{chr(97 + i % 26)}@{chr(97 + i // 26 % 26)}.{'abcdefg'[i // 676]}x" for i in range(7 * 676)]
+    assert len({pii.surrogate("key", "email", a, n) for a in two for n in range(4)}) > len(two)
+    found = spark.createDataFrame([("email", a) for a in [*two, *one]], "kind string, canonical string")
+    got = {r.canonical: r.surrogate for r in pii.assign_surrogates(found, "key").collect()}
+    assert set(got) == {*two, *one} and len({*got.values()}) == len(got) and not set(got) & {*got.values()}
+    for value in got.values():
+        assert [k for _, _, k, _ in pii.entities(value)] == ["email"] and value.endswith(".example")
+
+
+def test_later_attempts_have_more_room():
+    mentions = {
+        "email": "A@x.org", "iban": "DE89 3704 0044", "card": "4111 1111 1111 1111", "ssn": "123-45-6789", "phone": "017-555-7713",
+        "person": "Anna",
+    }
+    for kind, mention in mentions.items():
+        canonical = {"person": "f:anna", "email": "a@x.org", "iban": "de8937040044"}.get(kind) or re.sub(r"\D", "", mention)
+        first, later = (pii.surrogate("key", kind, canonical, n) for n in (0, 16))
+        assert len(later) > len(first)
+        assert len(pii.rendered(kind, mention, later)) > len(pii.rendered(kind, mention, first))
+    assert pii.luhn(pii.surrogate("key", "card", "4111111111111111", 16)) == 0
+    assert {pii.surrogate("key", "ip", "10.0.0.1", n).split(".")[0] for n in (0, 7)} == {"10"} != {
+        pii.surrogate("key", "ip", "10.0.0.1", n).split(".")[0] for n in range(8, 20)
+    }
+
+
 def test_query_finds_nothing_left(spark, small, texts):
     from placemat.llm.queries import QUERIES
 
