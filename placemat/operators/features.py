@@ -8,7 +8,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from placemat.scratch import stage
 
@@ -21,21 +20,14 @@ def assemble_features(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataF
     return Pipeline(stages=[assembler]).fit(df).transform(df)
 
 
-def train_rating_model(
-    df: DataFrame, seed: int = 42, trees: int = 20, depth: int = 5, rows: int = 1_000_000
-) -> PipelineModel:
-    """Random-forest regression of the rating on the other features.
-
-    Fitted on at most ``rows`` rated rows, those with the smallest hashes of their values.
-    """
+def train_rating_model(df: DataFrame, seed: int = 42, trees: int = 20, depth: int = 5) -> PipelineModel:
+    """Random-forest regression of the rating on the other features, fitted on all rated rows."""
     inputs = [c for c in FEATURES if c != "rating"]
     assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="skip")
     forest = RandomForestRegressor(
         featuresCol="features", labelCol="rating", numTrees=trees, maxDepth=depth, seed=seed
     )
-    return Pipeline(stages=[assembler, forest]).fit(
-        df.dropna(subset=["rating"]).orderBy(F.xxhash64(*FEATURES), *FEATURES).limit(rows)
-    )
+    return Pipeline(stages=[assembler, forest]).fit(df.dropna(subset=["rating"]))
 
 
 def partition_and_cache(df: DataFrame, n: int = 10, by: str = "city") -> DataFrame:
