@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemat.llm import bpe, hosts, kneser_ney, langid, packing, pii, secrets, simhash, token_files, winnow
+from placemat.llm import bpe, hosts, kneser_ney, langid, merkle, packing, pii, secrets, simhash, token_files, winnow
 from placemat.llm.core import QUERIES, documents, query
 from placemat.scratch import fresh_path
 
@@ -100,3 +100,9 @@ def op7_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = kneser_ney.trusted_ids(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     judged = kneser_ney.classify(documents(spark, sf_dir), trusted)
     return judged.select("doc_id", "lang", "n_bytes", "perplexity", "threshold", "kept")
+
+
+@query("op13_merkle_manifest", merkle.SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return merkle.verify(merkle.manifest(docs, merkle.tampered(F.col("doc_id"), F.col("text"))))
