@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemat.llm import bpe, hosts, kneser_ney, langid, merkle, packing, pii, secrets, simhash, token_files, winnow
+from placemat.llm import alignment, bpe, hosts, kneser_ney, langid, merkle, packing, pii, secrets, simhash, token_files, winnow
 from placemat.llm.core import QUERIES, documents, query
 from placemat.scratch import fresh_path
 
@@ -106,3 +106,8 @@ def op7_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return merkle.verify(merkle.manifest(docs, merkle.tampered(F.col("doc_id"), F.col("text"))))
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.weigh_links(documents(spark, sf_dir))
