@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placemat.llm import alignment, bpe, hosts, kneser_ney, langid, merkle, packing, pii, secrets, simhash, token_files, winnow
+from placemat.llm import alignment, bpe, hosts, kneser_ney, langid, merkle, packing, pii, secrets, simhash, suffix_dedup, token_files, winnow
 from placemat.llm.core import QUERIES, documents, query
 from placemat.scratch import fresh_path
 
@@ -111,3 +111,8 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_token_alignment")
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.weigh_links(documents(spark, sf_dir))
+
+
+@query("op12_suffix_dedup")
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
