@@ -29,7 +29,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placemat.llm.blocks import pack_rows, unpack_rows
+from placemat.llm.blocks import pack_rows, release, unpack_rows
 from placemat.llm.core import shuffle_partitions
 from placemat.llm.tokens import ByteLevelEncoder, slices, vocabulary_text
 from placemat.scratch import fresh_path
@@ -280,7 +280,7 @@ def weigh_links(
                 size = 0
         if held:
             yield from flush()
-        pa.default_memory_pool().release_unused()
+        release()
 
     spark = docs.sparkSession
     path = fresh_path(spark, "aligned")
@@ -302,7 +302,7 @@ def weigh_links(
             at, count = np.searchsorted(known, np.frombuffer(pairs, "<i8")), np.frombuffer(counts, "<i4").astype(np.int64)
             n_best.append(int(count[best[at]].sum()))
             total.append(int((count * weight[at]).sum()))
-        pa.default_memory_pool().release_unused()
+        release()
         made = rows.drop_columns(["pairs", "counts"])
         return made.append_column("n_best", pa.array(n_best, pa.int64())).append_column("count_sum", pa.array(total, pa.int64())).select(
             ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]

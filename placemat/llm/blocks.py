@@ -8,6 +8,7 @@ all steps that read the same frame of blocks share its exchange.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,15 @@ def block_number(docs: DataFrame, key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(blocks_of(docs))).cast("int")
 
 
+def release() -> None:
+    """Give memory that finished groups have left back to the system: workers live on, and an executor has several."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def squeeze(data: bytes) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(data)
 
@@ -90,6 +100,8 @@ def packed_blocks(docs: DataFrame, key: str, distinct: str | None = None) -> Dat
                 held, size = [], 0
         if held:
             yield packs(held)
+        held = []
+        release()
 
     numbered = docs.withColumn("block", block_number(docs, F.col(key)))
     parts = shuffle_partitions(docs.sparkSession)

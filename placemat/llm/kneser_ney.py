@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placemat.llm.blocks import block_number, blocks_of, packed_blocks, squeeze, unpack_rows, unsqueeze
+from placemat.llm.blocks import block_number, blocks_of, packed_blocks, release, squeeze, unpack_rows, unsqueeze
 from placemat.llm.core import shuffle_partitions
 from placemat.scratch import stage
 
@@ -97,6 +97,7 @@ def count_grams(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     buckets = blocks_of(docs)
 
     def count(own: pa.Table, ids: pa.Table) -> pa.Table:
+        release()
         rows = unpack_rows(own.column("payload"))
         if rows is None or not ids.num_rows:
             return _lists([])
@@ -107,6 +108,7 @@ def count_grams(docs: DataFrame, trusted: DataFrame) -> DataFrame:
         return _lists(_by_bucket(int(ids.column("block")[0].as_py()), grams, [n], buckets))
 
     def total(group: pa.Table) -> pa.Table:
+        release()
         parts = [_unpacked(p, 2) for p in group.column("payload").to_pylist()]
         grams, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         n = np.bincount(where, weights=np.concatenate([p[1] for p in parts])).astype(np.int64)
@@ -191,12 +193,15 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 texts = [t.as_py() or b"" for t in rows.column("text").cast(pa.binary())]
                 grams = np.unique(grams_of(texts)[0])
                 yield from _lists(_by_bucket(int(block), grams, [], buckets)).to_batches()
+            release()
 
     def distinct(group: pa.Table) -> pa.Table:
+        release()
         parts = [_unpacked(p, 1)[0] for p in group.column("payload").to_pylist()]
         return pa.table({"gram": np.unique(np.concatenate(parts))})
 
     def answer(lists: pa.Table, found: pa.Table) -> pa.Table:
+        release()
         order = np.argsort(found.column("gram").to_numpy())
         grams = found.column("gram").to_numpy()[order]
         logs = np.log(found.column("p").to_numpy()[order]).astype(np.float32)
@@ -207,6 +212,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         return pa.table({"block": lists.column("block"), "grams": lists.column("payload"), "logs": pa.array(out, pa.binary())})
 
     def add_up(own: pa.Table, lists: pa.Table) -> pa.Table:
+        release()
         rows = unpack_rows(own.column("payload"))
         texts = [t.as_py() or b"" for t in rows.column("text").cast(pa.binary())]
         known = [_unpacked(p, 1)[0] for p in lists.column("grams").to_pylist()]

@@ -15,11 +15,14 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from placemat.llm.blocks import release
+from placemat.llm.tokens import slices
+
 UNKNOWN = "und"
 SAMPLE = 400
 SNIPPET = 2000
@@ -190,30 +193,41 @@ def document_scores(model: Model, texts: list[str]) -> np.ndarray:
     return total / np.maximum(counts, 1)[:, None]
 
 
-def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; columns of these names are replaced."""
-    readable = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+def _with_scores(docs: DataFrame, model: Model | None, text: str) -> DataFrame:
+    """``docs`` with ``__language``: the predicted language and its score. Only the text goes to Python, in small slices."""
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        unknown = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"))
+        return docs.withColumn("__language", unknown)
 
-    @F.pandas_udf("lang string, score double")
-    def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang string, score double")
+    def classify(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            texts = batch.tolist()
-            some = [i for i, t in enumerate(texts) if t]
-            scores = document_scores(model, [texts[i] for i in some])
-            out = pd.DataFrame({"lang": [UNKNOWN] * len(texts), "score": 0.0})
-            out.loc[some, "lang"] = [model.langs[k] for k in scores.argmax(axis=1)]
-            out.loc[some, "score"] = scores.max(axis=1, initial=0.0)
-            yield out
+            langs, scores = [], []
+            for few in slices(pa.RecordBatch.from_arrays([batch], ["text"]), "text"):
+                texts = few.column("text").to_pylist()
+                some = [i for i, t in enumerate(texts) if t]
+                found = document_scores(model, [texts[i] for i in some])
+                lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
+                for i, k, top in zip(some, found.argmax(axis=1).tolist(), found.max(axis=1, initial=0.0).tolist(), strict=True):
+                    lang[i], score[i] = model.langs[k], min(top, 1.0)
+                langs += lang
+                scores += score
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
+            del batch
+            release()
 
-    found = docs.withColumn("__language", classify(F.when(readable, F.col(text))))
-    return found.withColumns(
-        {"lang_pred": F.col("__language.lang"), "score": F.least(F.col("__language.score"), F.lit(1.0))}
-    ).drop("__language")
+    readable = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+    return docs.withColumn("__language", classify(F.when(readable, F.col(text))))
+
+
+def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``; columns of these names are replaced."""
+    found = _with_scores(docs, model, text)
+    return found.withColumns({"lang_pred": F.col("__language.lang"), "score": F.col("__language.score")}).drop("__language")
 
 
 def keep_known(docs: DataFrame, model: Model | None, least: float = 0.3, text: str = "text") -> DataFrame:
     """The documents whose language is recognised with a score of at least ``least``; columns as they came."""
-    judged = predict(docs.withColumn("__row", F.struct(*docs.columns)).select("__row", F.col(text).alias("text")), model)
-    return judged.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("__row.*")
+    found = _with_scores(docs, model, text)
+    known = (F.col("__language.lang") != UNKNOWN) & (F.col("__language.score") >= least)
+    return found.filter(known).select(*docs.columns)

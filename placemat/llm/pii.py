@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placemat.llm.blocks import block_number
+from placemat.llm.blocks import block_number, release
 from placemat.llm.core import shuffle_partitions
 from placemat.scratch import stage
 
@@ -294,6 +294,7 @@ def replace_entities(
     known = pairs.join(assign_surrogates(found, key), ["kind", "canonical"])
 
     def write(own: pa.Table, entries: pa.Table) -> pa.Table:
+        release()
         names = zip(entries.column("kind").to_pylist(), entries.column("canonical").to_pylist(), strict=True)
         table = dict(zip(names, entries.column("surrogate").to_pylist(), strict=True))
         out = [replace(t.as_py(), table) for t in own.column("text")]

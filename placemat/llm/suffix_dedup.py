@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placemat.llm.blocks import PACK_BYTES, blocks_of, pack_rows, packed_blocks, unpack_rows
+from placemat.llm.blocks import PACK_BYTES, blocks_of, pack_rows, packed_blocks, release, unpack_rows
 from placemat.llm.core import shuffle_partitions
 from placemat.scratch import fresh_path, stage
 
@@ -226,7 +226,7 @@ def _indexed(own: pa.Table) -> pa.Table:
                 number, held, size = len(seen), [], 0
     if sum(t.num_rows for t in held):
         made.append(texts(held, number))
-    pa.default_memory_pool().release_unused()
+    release()
     return pa.concat_tables(made)
 
 
@@ -282,7 +282,7 @@ def _cut_pieces(own: pa.Table, wanted: pa.Table) -> pa.Table:
                     held, body = tid, texts[tid - int(tids[0])].as_py()
                 pieces.append(body[at : at + windows + WIDTH - 1])
             out.append(mine.select(["h", "c", "n", "lead", "windows"]).append_column("piece", pa.array(pieces, pa.binary())))
-    pa.default_memory_pool().release_unused()
+    release()
     kinds = [("h", pa.int64()), ("c", pa.int64()), ("n", pa.int64()), ("lead", pa.int64()), ("windows", pa.int64()), ("piece", pa.binary())]
     return pa.concat_tables(out) if out else pa.schema(kinds).empty_table()
 
@@ -389,7 +389,7 @@ def piece_repeats(pieces: DataFrame, width: int = WIDTH) -> tuple[DataFrame, lis
         ),
         "splits",
     )
-    several = cut.join(_loose(cut), "h")
+    several = stage(cut.join(_loose(cut), "h"), "splits")  # written, so that adaptive execution can split a hot anchor
     distinct = several.groupBy("h", "c").agg(
         F.count("*").alias("n"), F.first("lead").alias("lead"), F.first("windows").alias("windows"), F.first("piece").alias("piece")
     )
@@ -425,7 +425,7 @@ def _without(own: pa.Table, spans: pa.Table) -> pa.Table:
                 values = rows.column("digest")[k].as_py(), len(body), len(body) - len(rest), runs, hashlib.sha256(rest).hexdigest()
                 for column, value in zip(out, values, strict=True):
                     column.append(value)
-    pa.default_memory_pool().release_unused()
+    release()
     kinds = [pa.binary(), *[pa.int64()] * 3, pa.string()]
     names = ["digest", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     return pa.table([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)

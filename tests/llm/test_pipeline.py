@@ -1,5 +1,7 @@
 import corpus_pipeline
-from placemat.llm import pii, simhash
+from test_shingles import brute
+
+from placemat.llm import pii
 from placemat.scratch import stage
 
 
@@ -15,8 +17,7 @@ def test_stages(spark, small):
             after = [r.doc_id for r in docs.collect()]
             assert len(after) == len(set(after)) and set(after) <= set(before)
         if name == "near_dedup":
-            groups = simhash.near_groups(spark.createDataFrame(list(before.values()), docs.schema)).collect()
-            assert set(after) == {r.component_id for r in groups}
+            assert set(after) == set(brute({d: r.text for d, r in before.items()}).values())
         if name == "pii":
             assert set(after) == set(before)
             for r in docs.collect():
@@ -37,3 +38,10 @@ def test_odd_documents(spark, odd, none, small):
             if name != "packing":
                 assert docs.columns == odd.columns
         assert (docs.count() > 0) == (frame is odd)
+
+
+def test_near_dedup_keeps_columns_of_any_name(spark):
+    rows = [(1, "a b c d e f", 7), (1, "a b c d e f", 7), (2, "A b c d e f", 8), (None, "x", 9), (None, "y", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __row long")
+    found = corpus_pipeline.near_dedup(spark, docs, "")
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == [(1, "a b c d e f", 7), (None, "x", 9), (None, "y", 10)]
