@@ -104,6 +104,73 @@ def availability_alerts(
     return ends.where(~F.col("first").eqNullSafe(F.col("last")))
 
 
+def reporting_sessions(
+    df: DataFrame,
+    gap: str = "1 day",
+    available: Column | None = None,
+    time: str = "timestamp",
+    watermark: str = WATERMARK,
+) -> DataFrame:
+    """Stretches in which a listing keeps being reported, with no silence of ``gap`` or longer inside.
+
+    ``stopped_at`` is ``gap`` after the last report. On a stream a stretch comes out once the watermark has passed that
+    moment, so its row is the alert that the listing has stopped being reported; a late report that is not behind the
+    watermark still joins two stretches. A batch frame also has the stretches that go on at its end. With
+    ``available`` only reports for which it holds count, so a listing reported as closed stops as well.
+    State is one row per listing and open stretch.
+    """
+    counted = df if available is None else df.where(available)
+    session = F.session_window(time, gap).alias("session")
+    grouped = _timed(counted.where(F.col("id").isNotNull()), time, watermark).groupBy(session, "id")
+    return grouped.agg(F.count("*").alias("reports"), F.max(time).alias("last_report")).select(
+        "id", F.col("session.start").alias("appeared_at"), "last_report", F.col("session.end").alias("stopped_at"), "reports"
+    )
+
+
+def availability_events(sessions: DataFrame) -> DataFrame:
+    """``id, change, at``: when a listing appeared and when it stopped being reported, from its stretches."""
+    changes = [
+        F.struct(F.lit(name).alias("change"), F.col(at).alias("at"))
+        for name, at in (("appeared", "appeared_at"), ("stopped", "stopped_at"))
+    ]
+    return sessions.select("id", F.explode(F.array(*changes)).alias("e")).select("id", "e.change", "e.at")
+
+
+def consecutive_readings(
+    df: DataFrame, horizon: str = "7 days", time: str = "timestamp", tie: str = "key", watermark: str = WATERMARK
+) -> DataFrame:
+    """Each rating with the one before it of the same listing, at most ``horizon`` earlier, else null.
+
+    The stream is joined with itself on the listing and an interval of time, so pairs are found across any window
+    border and micro-batch; of the earlier ratings the last one counts, ``tie`` deciding between equal times. A
+    rating comes out once the watermark has passed it by ``horizon``, as long as the join keeps ratings for later
+    ones. State is bounded by that time, and a listing with n ratings within it makes n pairs per rating, so choose
+    ``horizon`` to suit the rate of reports; ``rating_drop_alerts`` is quicker, but blind to window borders.
+    """
+    rated = df.where(F.col("rating").isNotNull() & F.col("id").isNotNull()).select("id", time, tie, "rating")
+    now = _timed(rated, time, watermark)
+    earlier = rated.select(*[F.col(c).alias(f"_{c}") for c in ("id", time, tie, "rating")])
+    before = _timed(earlier, f"_{time}", watermark)
+    within = (F.col(f"_{time}") <= F.col(time)) & (F.col(f"_{time}") >= F.col(time) - F.expr(f"interval {horizon}"))
+    first = (F.col(f"_{time}") < F.col(time)) | (F.col(f"_{tie}") < F.col(tie))
+    pairs = now.join(before, (F.col("id") == F.col("_id")) & within & first, "left_outer")
+    last = F.max_by("_rating", F.struct(f"_{time}", f"_{tie}"))
+    return pairs.groupBy(time, "id", tie, "rating").agg(last.alias("previous_rating"))
+
+
+def rating_drop_pairs(
+    df: DataFrame,
+    threshold: float,
+    horizon: str = "7 days",
+    time: str = "timestamp",
+    tie: str = "key",
+    watermark: str = WATERMARK,
+) -> DataFrame:
+    """Ratings at least ``threshold`` below the one before, wherever windows begin."""
+    compared = consecutive_readings(df, horizon, time, tie, watermark)
+    return compared.withColumn("drop", F.col("previous_rating") - F.col("rating")).where(F.col("drop") >= threshold)
+
+
 def write_stream_append(
     df: DataFrame,
     table: str,

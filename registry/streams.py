@@ -193,6 +193,61 @@ def t7_stream(spark, sf):
     return plain_times(drain(alerts, "t7_alerts"), "window_start", "window_end")
 
 
+SESSIONS_SQL = f"""{ENRICHED_SQL}, reports AS (
+  SELECT id, timestamp, lag(timestamp) OVER (PARTITION BY id ORDER BY timestamp) AS before
+  FROM enriched WHERE id IS NOT NULL AND data_source <> 'error'
+), islands AS (
+  SELECT id, timestamp, sum(case when timestamp <= before + interval 12 hours then 0 else 1 end)
+    OVER (PARTITION BY id ORDER BY timestamp ROWS UNBOUNDED PRECEDING) AS island FROM reports
+), sessions AS (
+  SELECT id, min(timestamp) AS appeared_at, max(timestamp) AS last_report, max(timestamp) + interval 12 hours AS stopped_at,
+    count(*) AS reports FROM islands GROUP BY id, island)"""
+SESSION_TIMES = ("appeared_at", "last_report", "stopped_at")
+
+
+def open_sessions(df):
+    return st.reporting_sessions(df, "12 hours", F.col("data_source") != "error")
+
+
+@query("t7_reporting_sessions", S.over_events(f", {SESSIONS_SQL} SELECT * FROM sessions"))
+def t7_sessions(spark, sf):
+    """Batch twin: all stretches, also those that go on."""
+    enriched = st.enrich_listing_stream(st.parse_listing_stream(messages(spark, sf)), at())
+    return plain_times(open_sessions(enriched), *SESSION_TIMES)
+
+
+@query(
+    "t7_availability_events_stream",
+    S.over_events(
+        f""", {SESSIONS_SQL}, closed AS (
+              SELECT * FROM sessions WHERE stopped_at <= (SELECT max(timestamp) - interval 10 minutes FROM reports))
+            SELECT id, 'appeared' AS change, appeared_at AS at FROM closed
+            UNION ALL SELECT id, 'stopped', stopped_at FROM closed"""
+    ),
+)
+def t7_events(spark, sf):
+    """A stretch of reports ends by silence, which no window of its own would show."""
+    return plain_times(drain(st.availability_events(open_sessions(enriched_stream(spark, sf))), "t7_events"), "at")
+
+
+@query(
+    "t6_rating_drop_pairs_stream",
+    S.over_events(
+        f""", {ENRICHED_SQL}, pairs AS (
+              SELECT timestamp, id, key, rating, lag(rating) OVER w AS previous_rating, lag(timestamp) OVER w AS before
+              FROM enriched WHERE rating IS NOT NULL AND id IS NOT NULL WINDOW w AS (PARTITION BY id ORDER BY timestamp, key)
+            )
+            SELECT timestamp, id, key, rating, previous_rating, previous_rating - rating AS drop FROM pairs
+            WHERE previous_rating - rating >= 1.0 AND before >= timestamp - interval 3 days
+              AND timestamp <= (SELECT max(timestamp) - interval 10 minutes - interval 3 days FROM pairs)"""
+    ),
+)
+def t6_pairs(spark, sf):
+    """The batch answer of consecutive ratings, less those that later ratings may still be compared with."""
+    drops = st.rating_drop_pairs(enriched_stream(spark, sf), 1.0, "3 days")
+    return plain_times(drain(drops, "t6_pairs"), "timestamp")
+
+
 # Histories over all events
 
 HISTORY = ("key", "id", "rating", "data_source", "ingestion_timestamp")

@@ -106,3 +106,73 @@ def test_read_table_by_name(spark):
 def test_empty_failures_are_stored(spark):
     stored = tables.store_failures(spark.range(3).where("id > 5"), "none_found")
     assert stored.count() == 0 and spark.table("test_failures_none_found").columns == ["id"]
+
+
+def drained(spark, source, name, build):
+    """Run ``build`` over what has landed since the last call and return all rows of its sink."""
+    target, checkpoint = fresh_path(spark, name), fresh_path(spark, f"{name}-check")
+
+    def drain():
+        stream = build(st.enrich_listing_stream(st.parse_listing_stream(files.read_listing_stream(spark, {}, "parquet", source))))
+        st.write_stream_append(stream, name, checkpoint, path=target, available_now=True).awaitTermination()
+        return sorted(tuple(r) for r in spark.read.schema(stream.schema).parquet(target).collect())
+
+    return drain
+
+
+def minutes(rows, *columns):
+    return [tuple(int((v.astimezone(datetime.UTC) - DAY).total_seconds() // 60) if i in columns else v for i, v in enumerate(r)) for r in rows]
+
+
+def reading(key, minute, rating, listing="a", source="yelp"):
+    return message(key, minute, rating, id=listing, data_source=source)
+
+
+def test_a_listing_that_stops_being_reported_alerts(spark):
+    """Silence closes a stretch; it spans micro-batches, and a report at the very end of the gap still belongs to it."""
+    source = fresh_path(spark, "in")
+    drain = drained(spark, source, "stopped", lambda df: st.reporting_sessions(df, "30 minutes", df["data_source"] != "error"))
+    land(spark, source, [reading(1, 0, 4.0), reading(2, 20, 4.0), reading(3, 5, 4.0, "b"), reading(4, 34, 4.0, "b", "error")])
+    assert drain() == []
+    # The report of minute 36 moves the watermark to 26, behind the end of b's stretch at 35; a goes on.
+    land(spark, source, [reading(5, 36, 4.0)])
+    assert drain() == []
+    land(spark, source, [reading(6, 46, 4.0)])
+    assert minutes(drain(), 1, 2, 3) == [("b", 5, 5, 35, 1)]
+    land(spark, source, [reading(7, 120, 4.0, "c")])
+    assert minutes(drain(), 1, 2, 3) == [("a", 0, 46, 76, 4), ("b", 5, 5, 35, 1)]
+
+
+def test_gap_ends(spark):
+    """A silence as long as the gap parts two stretches or not alike in batch and stream, and as the SQL says."""
+    rows = [reading(1, 0, 4.0), reading(2, 30, 4.0), reading(3, 61, 4.0), message(4, 0, id=None)]
+    batch = st.parse_listing_stream(spark.createDataFrame(rows, ENVELOPE_SCHEMA))
+    found = sorted(tuple(r) for r in st.reporting_sessions(batch, "30 minutes").collect())
+    assert minutes(found, 1, 2, 3) == [("a", 0, 30, 60, 2), ("a", 61, 61, 91, 1)]
+    events = sorted(tuple(r) for r in st.availability_events(st.reporting_sessions(batch, "30 minutes")).collect())
+    assert minutes(events, 2) == [("a", "appeared", 0), ("a", "appeared", 61), ("a", "stopped", 60), ("a", "stopped", 91)]
+
+
+def test_a_drop_over_any_border_alerts(spark):
+    """The ratings lie in different micro-batches and on both sides of midnight; equal times go by key."""
+    source = fresh_path(spark, "in")
+    drain = drained(spark, source, "drops", lambda df: st.rating_drop_pairs(df, 1.0, "2 days").select("key", "previous_rating", "drop"))
+    land(spark, source, [reading(1, 1430, 5.0), reading(2, 1430, 4.5, "b"), reading(3, 1430, 3.0, "b"), reading(8, 1431, 5.0, "late")])
+    drain()
+    land(spark, source, [reading(4, 1450, 4.0), reading(5, 1455, 2.0), reading(6, 1460, 2.0)])
+    drain()
+    # Key 7 is late but not behind the watermark (1450): it comes between 4 and 5, which drops from it now.
+    land(spark, source, [reading(7, 1452, 3.5), reading(9, 6000, 1.0), reading(10, 7000, 1.0, "z")])
+    assert drain() == [("3", 4.5, 1.5), ("4", 5.0, 1.0), ("5", 3.5, 1.5)]
+
+
+def test_stateful_plans_have_no_python(spark):
+    source = fresh_path(spark, "in")
+    land(spark, source, [reading(1, 0, 4.0)])
+    stream = st.enrich_listing_stream(st.parse_listing_stream(files.read_listing_stream(spark, {}, "parquet", source)))
+    wanted = {"SessionWindowStateStoreSave": st.reporting_sessions(stream), "StreamingSymmetricHashJoin": st.rating_drop_pairs(stream, 1.0)}
+    for node, frame in wanted.items():
+        started = st.write_stream_append(frame, node, fresh_path(spark, "check"), path=fresh_path(spark, "out"), available_now=True)
+        started.awaitTermination()
+        plan = started._jsq.explainInternal(False)
+        assert node in plan and "Python" not in plan
