@@ -33,6 +33,11 @@ def _string(c: Column) -> Column:
     return F.when(c.rlike(PLAIN), F.concat(F.lit('"'), c, F.lit('"'))).when(c.isNotNull(), slow)
 
 
+def ascii_text(c: Column) -> Column:
+    """``c`` with every character beyond ASCII escaped."""
+    return F.when(c.rlike(r"\A\p{ASCII}*\z"), c).otherwise(F.array_join(F.transform(F.split(c, ""), _escape_char), ""))
+
+
 def json_text(c: Column, dtype: T.DataType) -> Column:
     """JSON text of ``c``; SQL null inside a struct or array is written as ``null``."""
     null = F.lit("null")

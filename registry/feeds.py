@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from placemat.operators import combine, lookup, shape, stats
+from placemat.operators import combine, lookup, shape, stats, varying
 from placemat.plans import batch
 from placemat.scratch import fresh_path
 from placemat.schema import PLACES_MAPPING
@@ -86,6 +86,43 @@ def s1_unreadable(spark, sf):
     return found.select("text")
 
 
+def varying_records(spark, sf):
+    """Records that have a key only where an order says so, at three depths and in the elements of an array."""
+    key = F.col("o_orderkey")
+    note = F.concat(F.lit('say "a, b: c" \\ \u00e9\U0001f600 '), F.col("o_orderstatus"))
+    geo = F.when(key % 6 == 0, F.struct((key % 90).alias("lat"), F.when(key % 12 == 0, F.lit(1.5)).alias("lng")))
+    tag = F.struct(F.when(key % 8 == 0, note).alias("a"), F.col("o_custkey").alias("b"))
+    record = F.struct(
+        F.concat(F.lit("b_"), key.cast("string")).alias("id"),
+        F.when(key % 5 != 0, F.col("o_totalprice")).alias("price"),
+        F.when(key % 3 == 0, F.struct(F.col("o_orderstatus").alias("city"), geo.alias("geo"))).alias("location"),
+        F.when(key % 4 == 0, F.array(tag, tag)).alias("tags"),
+        F.when(key % 7 == 0, F.col("o_orderpriority")).alias("order priority"),
+    )
+    return table_of(spark, sf, "orders").select(F.struct(F.when(key % 10 > 0, F.array(record)).alias("businesses")).alias("r"))
+
+
+NOTE = """'say \\"a, b: c\\" ' || chr(92) || chr(92) || ' ' || chr(92) || 'u00e9' || chr(92) || 'ud83d' || chr(92) || 'ude00 ' || o_orderstatus"""
+TAG = f"""'{{' || case when o_orderkey % 8 = 0 then '"a": "' || {NOTE} || '", ' else '' end || '"b": ' || o_custkey::varchar || '}}'"""
+
+
+@query(
+    "p31_flatten_varying_feed",
+    f"""SELECT 'b_' || o_orderkey::varchar AS id, case when o_orderkey % 5 <> 0 then o_totalprice::double end AS price,
+          case when o_orderkey % 3 = 0 then o_orderstatus end AS location_city,
+          case when o_orderkey % 6 = 0 then o_orderkey % 90 end AS location_geo_lat,
+          case when o_orderkey % 12 = 0 then 1.5::double end AS location_geo_lng,
+          case when o_orderkey % 4 = 0 then '[' || {TAG} || ', ' || {TAG} || ']' end AS tags,
+          case when o_orderkey % 7 = 0 then o_orderpriority end AS "order priority"
+        FROM orders WHERE o_orderkey % 10 > 0""",
+)
+def p31_varying(spark, sf):
+    """No schema is given: the keys are found in the landed responses."""
+    lines = varying_records(spark, sf).select(F.to_json("r").alias("value"))
+    responses = varying.read_varying_json(spark, land(lines, "text", "varying"))
+    return varying.flatten_varying(varying.explode_records(responses, "businesses"))
+
+
 @query(
     "s5_read_business_details_json",
     """SELECT concat('b_', cast(o_orderkey as varchar)) AS id, o_orderstatus AS name, o_totalprice AS price
