@@ -455,6 +455,28 @@ def k5(spark, sf):
     return tables.materialize_clustered(listings, "k5_dimension", spread="row_key", path=fresh_path(spark, "k5"))
 
 
+def bucketed(spark, sf):
+    listings = rated(spark, sf).select("row_key", "city", "state", "rating", "price_level", "review_count")
+    return tables.materialize_bucketed(listings, "k5_bucketed", spread="row_key", path=fresh_path(spark, "k5-bucketed"))
+
+
+@query(
+    "k5_materialize_bucketed",
+    S.over_cleaned("SELECT row_key, city, state, rating, price_level, review_count FROM cleaned"),
+)
+def k5_bucketed(spark, sf):
+    return bucketed(spark, sf)
+
+
+@query(
+    "a6_avg_rating_by_city_bucketed",
+    S.over_cleaned("SELECT city, round(avg(rating), 6) AS avg_rating FROM cleaned WHERE city IS NOT NULL GROUP BY city"),
+)
+def a6_bucketed(spark, sf):
+    """Grouped where the rows lie: the table's buckets are the groups' tasks."""
+    return stats.avg_rating_by(bucketed(spark, sf), "city").withColumn("avg_rating", F.round("avg_rating", 6))
+
+
 @query("k6_store_failures", S.over_raw(f"SELECT {', '.join(LISTED)} FROM raw WHERE rating NOT BETWEEN 0 AND 5"))
 def k6(spark, sf):
     failing = quality.test_accepted_range(tested(spark, sf), "rating", 0, 5)
