@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from placemat.operators.ranking import PART, POSITION, range_parts
+from placemat.scratch import stage
 
 
 def with_neighbour(
@@ -76,6 +78,69 @@ def snapshot_merge(history: DataFrame, current: DataFrame, key: str, updated_at:
     return closed.drop("_incoming").unionByName(fresh.drop("_open"))
 
 
+OPEN = "open"
+LAYOUT = ("period", "slot")
+
+
+def _laid_out(history: DataFrame, key: str, slots: int) -> DataFrame:
+    """``period`` is the month in which a version was closed, or OPEN; ``slot`` a hash class of the key."""
+    period = F.coalesce(F.date_format("valid_to", "yyyy-MM"), F.lit(OPEN))
+    return history.withColumns({"period": period, "slot": F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")})
+
+
+def write_history(history: DataFrame, path: str, key: str, slots: int = 64) -> None:
+    """Store a history in partitions of open and closed versions, which ``merge_history`` can replace one by one."""
+    laid_out = _laid_out(history, key, slots)
+    laid_out.repartition(*LAYOUT).write.partitionBy(*LAYOUT).parquet(path)
+
+
+def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return _stored(spark, path, schema).drop(*LAYOUT)
+
+
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(T.StructType([*schema.fields, *T.StructType.fromDDL("period string, slot int").fields])).parquet(path)
+
+
+def merge_history(path: str, current: DataFrame, key: str, updated_at: str, slots: int = 64) -> int:
+    """Bring a stored history up to date with ``current`` (one row per key) and say how many versions are new.
+
+    The result is that of ``snapshot_merge``. Of the stored rows only two columns of the open versions in the slots
+    of the incoming keys are read to find what is new; after that only the partitions that a new or closed version belongs to
+    are read and written again, by dynamic partition overwrite: the open slots of changed keys and, for closed versions, the
+    month and slot they move to. The driver gets the list of these partitions. What is written is staged first, so a lost executor
+    never leaves a partition half read and half replaced. ``slots`` is that of ``write_history``.
+    """
+    spark = current.sparkSession
+    versions = current.withColumns({"valid_from": F.col(updated_at), "valid_to": F.lit(None).cast(current.schema[updated_at].dataType)})
+    fields = versions.schema
+    incoming = versions.withColumn("slot", F.pmod(F.xxhash64(key), F.lit(slots)).cast("int"))
+    hit = [r["slot"] for r in incoming.select("slot").distinct().collect()]
+    if not hit:
+        return 0
+    standing = _stored(spark, path, fields).where((F.col("period") == OPEN) & F.col("slot").isin(hit))
+    standing = standing.select("slot", F.col(key).alias("_key"), F.col(updated_at).alias("_open"))
+    same = (incoming["slot"] == standing["slot"]) & (incoming[key] == F.col("_key"))
+    found = incoming.join(standing, same, "left").where(F.col("_open").isNull() | (F.col(updated_at) > F.col("_open")))
+    fresh = stage(found.select(*fields.names, incoming["slot"], F.col("_open")), "fresh")
+    moved = F.when(F.col("_open").isNotNull(), F.date_format(updated_at, "yyyy-MM"))
+    touched = fresh.select("slot", F.explode(F.array_compact(F.array(F.lit(OPEN), moved))).alias("period")).distinct().collect()
+    if not touched:
+        return 0
+    by_period: dict[str, list[int]] = {}
+    for r in touched:
+        by_period.setdefault(r["period"], []).append(r["slot"])
+    chosen = F.lit(False)
+    for period, some in by_period.items():
+        chosen = chosen | ((F.col("period") == period) & F.col("slot").isin(some))
+    old = _stored(spark, path, fields).where(chosen).drop(*LAYOUT)
+    merged = snapshot_merge(old, fresh.select(*[c for c in current.columns]), key, updated_at)
+    staged = stage(_laid_out(merged.select(*fields.names), key, slots), "merged")
+    writer = staged.repartition(*LAYOUT).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*LAYOUT).parquet(path)
+    return fresh.count()
+
+
 def rating_drops(
     df: DataFrame, threshold: float, order: Sequence[str], key: str = "id", parts: int | None = None
 ) -> DataFrame:

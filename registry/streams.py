@@ -303,25 +303,25 @@ def m4(spark, sf):
 CUT = "timestamp '2024-01-21 00:00:00'"
 
 
-@query(
-    "m4_snapshot_merge",
-    S.over_events(
-        f""", past AS (
-              SELECT key, id, ingestion_timestamp, ingestion_timestamp AS valid_from,
-                lead(ingestion_timestamp) {OVER} AS valid_to FROM sent WHERE ingestion_timestamp < {CUT}
-            ), newest AS (
-              SELECT key, id, ingestion_timestamp FROM sent
-              QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingestion_timestamp DESC, key DESC) = 1
-            )
-            SELECT p.key, p.id, p.valid_from,
-              coalesce(p.valid_to, case when n.ingestion_timestamp > p.ingestion_timestamp then n.ingestion_timestamp end)
-                AS valid_to
-            FROM past p LEFT JOIN newest n ON p.id = n.id
-            UNION ALL SELECT n.key, n.id, n.ingestion_timestamp, null FROM newest n
-            LEFT JOIN past p ON p.id = n.id AND p.valid_to IS NULL
-            WHERE p.id IS NULL OR n.ingestion_timestamp > p.ingestion_timestamp"""
-    ),
+MERGED_SQL = S.over_events(
+    f""", past AS (
+          SELECT key, id, ingestion_timestamp, ingestion_timestamp AS valid_from,
+            lead(ingestion_timestamp) {OVER} AS valid_to FROM sent WHERE ingestion_timestamp < {CUT}
+        ), newest AS (
+          SELECT key, id, ingestion_timestamp FROM sent
+          QUALIFY row_number() OVER (PARTITION BY id ORDER BY ingestion_timestamp DESC, key DESC) = 1
+        )
+        SELECT p.key, p.id, p.valid_from,
+          coalesce(p.valid_to, case when n.ingestion_timestamp > p.ingestion_timestamp then n.ingestion_timestamp end)
+            AS valid_to
+        FROM past p LEFT JOIN newest n ON p.id = n.id
+        UNION ALL SELECT n.key, n.id, n.ingestion_timestamp, null FROM newest n
+        LEFT JOIN past p ON p.id = n.id AND p.valid_to IS NULL
+        WHERE p.id IS NULL OR n.ingestion_timestamp > p.ingestion_timestamp"""
 )
+
+
+@query("m4_snapshot_merge", MERGED_SQL)
 def m4_merge(spark, sf):
     """History up to a day, brought up to date with the newest version of each listing."""
     versions = past(spark, sf).select("key", "id", "ingestion_timestamp")
@@ -330,3 +330,16 @@ def m4_merge(spark, sf):
     newest = versions.groupBy("id").agg(F.max(F.struct("ingestion_timestamp", "key")).alias("last"))
     current = newest.select("id", "last.key", "last.ingestion_timestamp")
     return history.snapshot_merge(known, current, "id", "ingestion_timestamp").drop("ingestion_timestamp")
+
+
+@query("m4_incremental_merge", MERGED_SQL)
+def m4_incremental(spark, sf):
+    """The same on a stored history, of which only the partitions of changed keys are written again."""
+    versions = past(spark, sf).select("key", "id", "ingestion_timestamp")
+    before = versions.where(F.expr(f"ingestion_timestamp < timestamp_ntz {CUT.removeprefix('timestamp ')}"))
+    known = history.scd2_history(before, "id", "ingestion_timestamp", ["key"])
+    path = fresh_path(spark, "m4-history")
+    history.write_history(known, path, "id")
+    newest = versions.groupBy("id").agg(F.max(F.struct("ingestion_timestamp", "key")).alias("last"))
+    history.merge_history(path, newest.select("id", "last.key", "last.ingestion_timestamp"), "id", "ingestion_timestamp")
+    return history.read_history(spark, path, known.schema).drop("ingestion_timestamp")
