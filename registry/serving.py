@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placemat.operators import features, filters, geo, quality, ranking, stats
+from placemat.operators import features, filters, geo, quality, ranking, search, stats
 from placemat.operators.locations import apply_priority_policy
 from placemat.plans import models, warehouse
 from placemat.schema import DIMENSION_COLUMNS
@@ -79,6 +79,17 @@ def f4(spark, sf):
     return filters.search_name(raw_listings(spark, sf), "pLACE 1[0-4]+ ").select("row_key", "name")
 
 
+@query(
+    "f4_search_name_indexed",
+    S.over_raw("SELECT row_key, name FROM raw WHERE regexp_matches(name, 'ace 1[0-4]+7 ', 'i')"),
+)
+def f4_indexed(spark, sf):
+    """The pattern is applied to the rows that have its rarest trigrams."""
+    listings = raw_listings(spark, sf).select("row_key", "name")
+    index = search.write_index(listings, fresh_path(spark, "f4-index"))
+    return search.search_indexed(listings, index, "ace 1[0-4]+7 ")
+
+
 def _radius_sql(radius: str, limit: str = "20") -> str:
     return S.over_places(
         f""", pairs AS (
