@@ -8,6 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from placemat.scratch import stage
 
@@ -30,6 +31,26 @@ def train_rating_model(df: DataFrame, seed: int = 42, trees: int = 20, depth: in
     return Pipeline(stages=[assembler, forest]).fit(df.dropna(subset=["rating"]))
 
 
+def holdout_predictions(df: DataFrame, key: str = "row_key", every: int = 5, **model) -> DataFrame:
+    """``key, rating, prediction`` of one rated row in ``every``, by a forest fitted on the others.
+
+    Rows are dealt by the hash of their key, so the split is the same on every run and cluster.
+    """
+    held = F.pmod(F.xxhash64(key), F.lit(every)) == 0
+    fitted = train_rating_model(df.where(~held), **model)
+    return fitted.transform(df.where(held & F.col("rating").isNotNull())).select(key, "rating", "prediction")
+
+
+def prediction_error(predictions: DataFrame) -> DataFrame:
+    """Root mean square error of the predictions, and that of answering the mean rating every time."""
+    rated = predictions.where(F.col("rating").isNotNull() & F.col("prediction").isNotNull())
+    return rated.agg(
+        F.count("*").alias("rows"),
+        F.sqrt(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2))).alias("rmse"),
+        F.stddev_pop("rating").alias("mean_rmse"),
+    )
+
+
 def partition_and_cache(df: DataFrame, n: int = 10, by: str = "city") -> DataFrame:
     """Rows of one ``by`` value kept together in about ``n`` partitions, written once for repeated reads.
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from placemat.operators.ranking import top_per_location
+
 EARTH_RADIUS_M = 6371000.0
 DEFAULT_RADIUS_M = 5000
 DEFAULT_LIMIT = 20
@@ -108,6 +110,9 @@ def radius_filter(
     """
     own = ["request_limit"] if "request_limit" in centres.columns else []
     found = places_around(places, centres, radius_m, place_type, own)
-    order = Window.partitionBy("search_location").orderBy(F.desc_nulls_last("review_count"), F.asc(tie))
+    order = [F.desc_nulls_last("review_count"), F.asc(tie)]
     most = F.coalesce(*[F.col(c) for c in own], F.lit(limit))
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).drop(*own)
+    # No centre keeps more than the largest limit, a number by which rows are dropped before they are shuffled.
+    largest = centres.agg(F.max(most)).first()[0] if own else limit
+    ranked = top_per_location(found, largest if largest is not None else limit, "search_location", order)
+    return ranked.where(F.col("rank") <= most).drop(*own)

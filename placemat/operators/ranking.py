@@ -94,16 +94,27 @@ def top_per_location(
     by: str = "search_location",
     order: Sequence[Column] | None = None,
     name: str = "rank",
+    shares: int = 64,
 ) -> DataFrame:
     """The best-rated ``k`` rows of each location.
 
     The rank filter lets Spark keep ``k`` rows per location in each task before the shuffle,
     so a location holding a large share of the rows does not travel whole. Spark does so for ``k``
-    below ``spark.sql.optimizer.windowGroupLimitThreshold``; raise that setting along with ``k``.
+    below ``spark.sql.optimizer.windowGroupLimitThreshold``. For a larger ``k`` a location is first ranked in
+    ``shares`` shares, dealt by the hash of the row, so that no task sorts more than a share of it, or ``k`` rows of each.
     """
     order = order or [F.desc_nulls_last("rating"), F.asc("row_key")]
-    ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(by).orderBy(*order)))
-    return ranked.where(F.col(name) <= k)
+
+    def best(rows: DataFrame, *keys: str) -> DataFrame:
+        ranked = rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        return ranked.where(F.col(name) <= k)
+
+    if k < int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        return best(df, by)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    hashable = [c for c, kind in kinds.items() if "map<" not in kind and "variant" not in kind]
+    shared = df.withColumn("_share", F.pmod(F.xxhash64(*hashable), F.lit(shares)))
+    return best(best(shared, by, "_share").drop("_share", name), by)
 
 
 def serving_top(df: DataFrame, n: int = 500, tie: str = "place_id") -> DataFrame:

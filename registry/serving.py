@@ -544,6 +544,12 @@ def l2(spark, sf):
     return model.transform(listings).select("row_key", "rating", in_range)
 
 
+@query("l2_holdout_predictions")
+def l2_holdout(spark, sf):
+    """Predictions for the rated rows that the model was not fitted on."""
+    return features.holdout_predictions(numeric(spark, sf))
+
+
 @query(
     "h1_partition_and_cache",
     S.over_cleaned(

@@ -264,3 +264,27 @@ def test_preview(spark, dimension):
     rows = [tuple(r) for r in ranking.preview(dimension).collect()]
     assert (None, 6) in rows and len(rows) == 6
     assert ranking.preview(dimension, 11).count() == 11
+
+
+def test_a_large_k_on_one_hot_location_is_ranked_in_shares(spark):
+    """Beyond the size up to which Spark prunes by itself; three quarters of the rows are in one location."""
+    rows = spark.range(40000).select(
+        F.col("id").alias("row_key"),
+        F.when(F.col("id") % 4 > 0, "hot").otherwise(F.concat(F.lit("l"), F.col("id") % 40)).alias("search_location"),
+        ((F.col("id") * 7919) % 50).cast("double").alias("rating"),
+    )
+    found = ranking.top_per_location(rows, 5000)
+    order = Window.partitionBy("search_location").orderBy(F.desc_nulls_last("rating"), "row_key")
+    want = rows.withColumn("rank", F.row_number().over(order)).where("rank <= 5000")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+    assert found.columns == want.columns and found.where("search_location = 'hot'").count() == 5000
+    # The first ranking is by share too, so a task sorts a part of the hot location.
+    assert "_share" in plan_of(found)
+
+
+def test_own_limits_of_centres_prune_before_the_shuffle(spark):
+    places = spark.range(3000).selectExpr("id AS row_key", "cast(id % 97 as int) AS review_count", "id / 1e6 AS latitude", "0.0 AS longitude")
+    centres = spark.createDataFrame([("a", 0.0, 0.0, 3), ("b", 0.001, 0.0, None), ("c", 50.0, 0.0, 9)], "name string, latitude double, longitude double, request_limit int")
+    found = geo.radius_filter(places, centres, place_type=None, limit=5)
+    assert "WindowGroupLimit" in plan_of(found)
+    assert {r[0]: r[1] for r in found.groupBy("search_location").count().collect()} == {"a": 3, "b": 5}
