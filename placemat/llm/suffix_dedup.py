@@ -354,9 +354,12 @@ def _split_pieces(width: int):
 
 
 def _loose(rows: DataFrame) -> DataFrame:
-    """Anchors with several rows: ``h`` and whether all their segments are equal."""
+    """Anchors with several rows: ``h`` and whether all their segments are equal.
+
+    It is written, so that a join with it shuffles both sides anew and adaptive execution can split a hot anchor.
+    """
     found = rows.groupBy("h").agg(F.count("*").alias("n"), F.min("c").alias("a"), F.max("c").alias("b"))
-    return found.filter("n > 1").select("h", (F.col("a") == F.col("b")).alias("equal"))
+    return stage(found.filter("n > 1").select("h", (F.col("a") == F.col("b")).alias("equal")), "anchors")
 
 
 def piece_repeats(pieces: DataFrame, width: int = WIDTH) -> tuple[DataFrame, list[DataFrame]]:
