@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,13 +103,15 @@ def radius_filter(
     place_type: str | None = "restaurant",
     limit: int = DEFAULT_LIMIT,
     tie: str = "row_key",
+    search: Callable[..., DataFrame] = places_around,
 ) -> DataFrame:
     """The most reviewed places of a type in the circle around each centre.
 
-    As many as the centre's own ``request_limit``, where the column is there and not null, else ``limit``.
+    As many as the centre's own ``request_limit``, where the column is there and not null, else ``limit``. ``search`` is
+    ``places_around``, or that of ``quadtree`` where places crowd or radii differ widely.
     """
     own = ["request_limit"] if "request_limit" in centres.columns else []
-    found = places_around(places, centres, radius_m, place_type, own)
+    found = search(places, centres, radius_m, place_type, own)
     order = [F.desc_nulls_last("review_count"), F.asc(tie)]
     most = F.coalesce(*[F.col(c) for c in own], F.lit(limit))
     # No centre keeps more than the largest limit, a number by which rows are dropped before they are shuffled.

@@ -2,13 +2,14 @@
 
 import math
 import random
+from functools import partial
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from placemat import scratch
-from placemat.operators import geo, history, lookup, quality, ranking
+from placemat.operators import geo, history, lookup, quadtree, quality, ranking
 from placemat.operators import locations as loc
 from placemat.plans import models, warehouse
 from __spark_entry__ import QUERIES
@@ -115,9 +116,10 @@ def metres(a, b):
     return 2 * geo.EARTH_RADIUS_M * math.asin(min(1, math.sqrt(h)))
 
 
+@pytest.mark.parametrize("search", [geo.places_around, quadtree.places_around, partial(quadtree.places_around, most=7)])
 @pytest.mark.parametrize("own", [False, True])
 @pytest.mark.parametrize("radius", [5000, 300_000])
-def test_radius_equals_brute_force(spark, radius, own):
+def test_radius_equals_brute_force(spark, radius, own, search):
     rng = random.Random(7)
     spots = [(0, 0), (89.99, 10), (-90, 0), (45, 180), (45, -180), (60.5, 179.99), (-33, 151)]
     width = math.degrees(radius / geo.EARTH_RADIUS_M)
@@ -133,11 +135,34 @@ def test_radius_equals_brute_force(spark, radius, own):
     # Smaller and larger than the argument, and none.
     radii = [rng.choice([None, radius // 3, radius * 2]) if own else None for _ in centres]
     middle = spark.createDataFrame([(str(i), float(a), float(b), r) for i, ((a, b), r) in enumerate(zip(centres, radii))], "name string, latitude double, longitude double, radius_m int")
-    got = {(r.search_location, r.row_key) for r in geo.places_around(frame, middle, radius).collect()}
+    got = {(r.search_location, r.row_key) for r in search(frame, middle, radius).collect()}
     want = {(str(i), j) for i, c in enumerate(centres) for j, p in enumerate(places) if metres(c, p) <= (radii[i] or radius)}
     assert got == want and want
 
 
+def test_quadtree_cells_are_bounded(spark):
+    """A third of the places stand in one street, a third at one address; the rest anywhere."""
+    rng = random.Random(3)
+    street = [(48.2 + rng.uniform(0, 0.002), 16.37 + rng.uniform(0, 0.002)) for _ in range(1500)]
+    spots = street + [(-33.5, 151.2)] * 1500 + [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(1500)]
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(spots)], "row_key int, latitude double, longitude double")
+    coded = frame.withColumn("_code", quadtree.code(F.col("latitude"), F.col("longitude")))
+    leaves = quadtree.find_leaves(coded, 50)
+    assert leaves.starts[0] == 0 and leaves.starts == sorted(set(leaves.starts)) and max(leaves.shares) == 30
+    cells = quadtree.with_cells(coded, leaves).groupBy("_leaf", "_share").count()
+    sizes = [r["count"] for r in cells.collect()]
+    assert sum(sizes) == len(spots) and max(sizes) <= 90  # shares of one address are equal on average
+    centres = spark.createDataFrame([("a", -33.5, 151.2), ("b", 48.201, 16.371)], "name string, latitude double, longitude double")
+    for radius in (30, 4000):
+        got = quadtree.places_around(frame, centres, radius, None, most=50)
+        want = {(n, i) for n, c in (("a", (-33.5, 151.2)), ("b", (48.201, 16.371))) for i, p in enumerate(spots) if metres(c, p) <= radius}
+        rows = [(r.search_location, r.row_key) for r in got.collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == want
+    nothing = frame.where("row_key < 0")
+    assert quadtree.places_around(nothing, centres, 4000, None).count() == 0
+    assert quadtree.places_around(frame, centres.where("name = 'c'"), 4000, None).count() == 0
+
+
 def test_rows_that_come_after_the_models_were_made(spark, tmp_path):
     def rows(keys):
         made = [(k, None if k % 2 else f"r{k}", f"Place {k}", 4.0, "yelp", k) for k in keys]
