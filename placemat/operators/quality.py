@@ -110,6 +110,16 @@ def row_tests() -> dict[str, Column]:
     }
 
 
+def counted(tests: Mapping[str, Column]) -> dict[str, Column]:
+    """The number of rows that fail each test, as aggregates: to observe while rows are written, or for one ``agg``."""
+    return {name: F.count_if(failed) for name, failed in tests.items()}
+
+
+def missing_values(columns: Sequence[str]) -> dict[str, Column]:
+    """The number of nulls of each column, named ``missing_<column>``, as aggregates."""
+    return {f"missing_{c}": F.count_if(F.col(f"`{c}`").isNull()) for c in columns}
+
+
 def failing_rows(df: DataFrame, tests: Mapping[str, Column]) -> DataFrame:
     """Each row once per test it fails, with the test's name in ``test``, in one pass."""
     names = F.array_compact(F.array(*[F.when(failed, F.lit(name)) for name, failed in tests.items()]))

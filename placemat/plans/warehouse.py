@@ -7,9 +7,17 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from placemat.operators.quality import failing_rows, group_tests, row_tests
+from placemat.operators.quality import counted, failing_rows, group_tests, missing_values, row_tests
 from placemat.plans.models import dim_listings, staging_listings
-from placemat.sinks.tables import materialize_clustered, materialize_view, store_failures, write_overwrite
+from placemat.sinks.tables import (
+    materialize_clustered,
+    materialize_view,
+    measured,
+    rows_written,
+    store_failures,
+    write_measured,
+    write_overwrite,
+)
 
 
 def build_models(
@@ -47,3 +55,15 @@ def run_tests(raw: DataFrame, path: str | None = None) -> dict[str, DataFrame]:
     for name, failing in group_tests(raw).items():
         stored[name] = store_failures(failing, name, f"{path}/{name}" if path else None)
     return stored
+
+
+def load_tested(raw: DataFrame, table: str, path: str | None = None) -> DataFrame:
+    """Write the raw listings and return the report on them as ``measure, value`` rows, from the writing job alone.
+
+    The report has the rows, the nulls of each column and the failures of each test of single rows. Nothing is read
+    again for it; the failing rows themselves and the tests that compare rows are ``run_tests`` over the table.
+    """
+    spark = raw.sparkSession
+    write_measured(raw, table, {**missing_values(raw.columns), **counted(row_tests())}, path)
+    report = {"rows": rows_written(spark, table), **measured(spark, table)}
+    return spark.createDataFrame(list(report.items()), "measure string, value long")

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Table property with the number of rows the last complete load wrote.
 ROWS = "placemat.rows"
 #: Table property with the folder of the load before, which nothing reads that was planned since.
 PREVIOUS = "placemat.previous"
+#: Prefix of the properties with what was measured while the last complete load was written.
+MEASURE = "placemat.measure."
 
 
 def _location(spark: SparkSession, table: str) -> str:
@@ -55,11 +57,19 @@ def _swap(spark: SparkSession, staged: str, table: str, folder: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def _save(df: DataFrame, table: str, path: str | None, by: str | None = None, buckets: tuple[int, str] | None = None) -> DataFrame:
+def _save(
+    df: DataFrame,
+    table: str,
+    path: str | None,
+    by: str | None = None,
+    buckets: tuple[int, str] | None = None,
+    measures: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """Write the rows to a folder of their own, then let the table point there.
 
     Until the last step, which moves no data, the table is what it was: a load that fails changes nothing, readers never
-    see part of a load, and ``df`` may read the table it replaces. The rows are counted while they are written.
+    see part of a load, and ``df`` may read the table it replaces. The rows are counted while they are written, and
+    ``measures`` (aggregates that give whole numbers) taken.
     Folders of earlier loads stay, as a frame may still read them; the property ``PREVIOUS`` names the last one, and
     who owns the folder removes it.
     """
@@ -68,20 +78,45 @@ def _save(df: DataFrame, table: str, path: str | None, by: str | None = None, bu
     base = path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table.replace('.', '/')}_loads"
     folder, staged = f"{base.rstrip('/')}/load-{run}", f"{table}_load_{run}"
     counted = Observation(staged)
-    writer: DataFrameWriter = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.format("parquet").option("path", folder)
+    taken = [m.alias(f"m_{name}") for name, m in (measures or {}).items()]
+    writer: DataFrameWriter = df.observe(counted, F.count(F.lit(1)).alias("rows"), *taken).write.format("parquet").option("path", folder)
     writer = writer.partitionBy(by) if by else writer
     writer = writer.bucketBy(*buckets).sortBy(buckets[1]) if buckets else writer
     writer.saveAsTable(staged)
     _swap(spark, staged, table, folder)
-    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{ROWS}' = '{counted.get['rows']}')")
+    found = counted.get
+    stale = [name for name in _properties(spark, table) if name.startswith(MEASURE)]
+    if stale:
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ({', '.join(repr(n) for n in stale)})")
+    values = {ROWS: found["rows"], **{f"{MEASURE}{name}": found[f"m_{name}"] for name in measures or {}}}
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({', '.join(f'{n!r} = {str(v)!r}' for n, v in values.items())})")
     return spark.read.table(table)
 
 
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
 def rows_written(spark: SparkSession, table: str) -> int:
     """How many rows the last complete load of the table wrote; nothing is read."""
     return int(spark.sql(f"SHOW TBLPROPERTIES {table} ('{ROWS}')").first()["value"])
 
 
+def measured(spark: SparkSession, table: str) -> dict[str, int]:
+    """What was measured while the last complete load of the table was written; nothing is read."""
+    found = _properties(spark, table)
+    return {name.removeprefix(MEASURE): int(v) for name, v in found.items() if name.startswith(MEASURE)}
+
+
+def write_measured(df: DataFrame, table: str, measures: Mapping[str, Column], path: str | None = None) -> DataFrame:
+    """``write_overwrite`` that takes ``measures``, such as counts of failing rows, in the job that writes.
+
+    They are kept with the table (``measured``), so a report on the load reads nothing. Names are letters, digits
+    and underscores. If a task is tried again, only its successful try counts.
+    """
+    return _save(df, table, path, measures=measures)
+
+
 def write_overwrite(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
     """Replace the table, as a whole or not at all; a failed write raises. ``path`` is the folder of its loads."""
     return _save(df, table, path)

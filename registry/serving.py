@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from placemat.operators import features, filters, geo, quality, ranking, search, stats
+from placemat.operators import features, filters, geo, quadtree, quality, ranking, search, stats
 from placemat.operators.locations import apply_priority_policy
 from placemat.plans import models, warehouse
 from placemat.schema import DIMENSION_COLUMNS
@@ -109,8 +109,8 @@ def _radius_sql(radius: str, limit: str = "20") -> str:
     )
 
 
-def _found(places_frame, centres_frame):
-    found = geo.radius_filter(places_frame, centres_frame)
+def _found(places_frame, centres_frame, **how):
+    found = geo.radius_filter(places_frame, centres_frame, **how)
     distance = F.round("distance_m", 3).alias("distance_m")
     return found.select("search_location", "row_key", "review_count", distance, "rank")
 
@@ -134,6 +134,14 @@ def f8_policy(spark, sf):
     return _found(places(spark, sf), policy.withColumn("radius_m", wide))
 
 
+@query("f8_radius_filter_quadtree", _radius_sql("case c.priority when 'high' then 8000 when 'medium' then 3000 else 900 end"))
+def f8_quadtree(spark, sf):
+    """Circles of very different size over cells that follow the density of the places."""
+    radius = F.when(F.col("priority") == "high", 8000).when(F.col("priority") == "medium", 3000).otherwise(900)
+    wide = centres(spark, sf).withColumn("radius_m", radius).drop("priority")
+    return _found(places(spark, sf), wide, search=quadtree.places_around)
+
+
 # Reports
 
 @query(
@@ -388,6 +396,23 @@ def e3_tests(spark, sf):
     return reduce(DataFrame.unionByName, counts)
 
 
+MEASURES = {
+    "rows": "count(*)",
+    **{f"missing_{c}": f"count(*) FILTER ({c} IS NULL)" for c in LISTED},
+    **{f"not_null_{c}": f"count(*) FILTER ({c} IS NULL)" for c in LISTED if c != "row_key"},
+    "accepted_range_rating": "count(*) FILTER (rating NOT BETWEEN 0 AND 5)",
+}
+
+
+@query(
+    "a1_load_measures",
+    S.over_raw(" UNION ALL ".join(f"SELECT '{m}' AS measure, {n} AS value FROM raw" for m, n in MEASURES.items())),
+)
+def a1_load(spark, sf):
+    """Counted by the job that writes the table; nothing is read again."""
+    return warehouse.load_tested(tested(spark, sf), "a1_loaded", fresh_path(spark, "a1-load"))
+
+
 # Ranking
 
 @query(

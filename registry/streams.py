@@ -7,10 +7,13 @@ result is read back from the sink.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from placemat.operators import history
+from placemat.operators.quality import row_tests
 from placemat.scratch import fresh_path
 from placemat.sources.files import read_listing_stream
+from placemat.streaming import batches
 from placemat.streaming import listings as st
 from registry import sql as S
 from registry.core import query
@@ -248,6 +251,46 @@ def t6_pairs(spark, sf):
     return plain_times(drain(drops, "t6_pairs"), "timestamp")
 
 
+def tested_stream(spark, sf) -> str:
+    """Folder of the outputs of one query over all messages: listings, failing rows, metrics."""
+    path, checkpoint = fresh_path(spark, "tested"), fresh_path(spark, "tested-checkpoint")
+    batches.start_tested_stream(
+        message_stream(spark, sf), row_tests(), path, checkpoint, available_now=True, at=at()
+    ).awaitTermination()
+    return path
+
+
+FAILED = {
+    **{f"not_null_{c}": f"{c} IS NULL" for c in ("id", "name", "rating", "data_source", "ingestion_timestamp")},
+    "accepted_range_rating": "rating NOT BETWEEN 0 AND 5",
+}
+
+
+@query(
+    "k2_stream_failing_rows",
+    S.over_events(
+        f", {ENRICHED_SQL} " + " UNION ALL ".join(f"SELECT key, id, '{t}' AS test FROM enriched WHERE {w}" for t, w in FAILED.items())
+    ),
+)
+def k2_failures(spark, sf):
+    """Rows that fail a test, written by the query that writes all rows, from one reading of the messages."""
+    kept = StructType().add("key", StringType()).add("id", StringType()).add("test", StringType())
+    return batches.read_batches(spark, tested_stream(spark, sf), "failures", kept).select("key", "id", "test")
+
+
+@query(
+    "k2_stream_metrics",
+    S.over_events(
+        f", {ENRICHED_SQL} SELECT 'rows' AS metric, count(*) AS value FROM enriched UNION ALL "
+        + " UNION ALL ".join(f"SELECT '{t}', count(*) FROM enriched WHERE {w}" for t, w in FAILED.items())
+    ),
+)
+def k2_metrics(spark, sf):
+    """Counts observed while the batches were written."""
+    metrics = batches.read_metrics(spark, tested_stream(spark, sf))
+    return metrics.groupBy("metric").agg(F.sum("value").alias("value"))
+
+
 # Histories over all events
 
 HISTORY = ("key", "id", "rating", "data_source", "ingestion_timestamp")
