@@ -7,6 +7,15 @@ is drawn from a keyed hash of the entity and an attempt number, of the same leng
 Distinct entities are compared over the whole corpus: an attempt that hits a detected original, or a surrogate
 someone else has, is drawn again, until none is left. Where a form runs out of values, later attempts are longer.
 
+Persons and mail addresses are replaced part by part: each given name, family name, local part and domain is an entity of
+its own, whatever the form of address. So ``Mr John Smith`` and a later ``Mr Smith`` keep one family name, ``Dr Anna Bell``
+and ``Ms Anna Bell`` are one person, addresses of one domain still share one, and as no two parts get one surrogate, no
+two names or addresses do. A given name gets the gender that its mentions tell, if they agree. Initials are moved along
+the alphabet by a keyed distance.
+
+Names are found after a form of address: up to three capitalised words, particles (``von``), apostrophes, hyphens and
+initials included. Telephone numbers need a plus sign, brackets or parted groups: ten digits in a row may be anything.
+
 Only texts that may hold an entity are shuffled, once, in blocks; the rest pass untouched. Null texts stay null,
 empty ones empty. Rows may repeat. An empty table gives an empty result.
 """
@@ -15,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 
@@ -38,14 +48,24 @@ _WORD = r"[^\W\d_]"
 PATTERNS: tuple[tuple[str, str], ...] = (
     ("email", r"[\w.%+-]*[\w%+-]@(?:[\w-]+\.)+[^\W\d_]{2,}"),
     ("iban", r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
+    ("ipv6", r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){2,6}(?::[0-9A-Fa-f]{1,4}){1,5})(?![\w:]|\.[0-9])"),
     ("ip", r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\w|\.[0-9])"),
     ("card", r"(?<!\w)[0-9](?:[ -]?[0-9]){12,18}(?!\w)"),
     ("ssn", r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"),
-    ("phone", r"(?<![\w+(])(?:\+[0-9]{9,14}|(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4})(?!\w)"),
-    ("person", rf"(?<!\w)(?:{MALE}|{FEMALE}|{EITHER})\.? ({_WORD}+(?:[ -]{_WORD}+){{0,2}})"),
+    ("phone", r"(?<![\w+(])(?:\+[0-9]{9,14}|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){0,1}[ .-][0-9]{6,10}|\+[0-9]{1,3}(?:[ .-][0-9]{1,4}){3,5}|(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-]?[0-9]{3,4})(?!\w)"),
+)
+# Small words inside family names.
+PARTICLES = "von|van|der|den|ter|zu|zur|de|del|della|di|da|dos|la|le|du|al|el|bin"
+TITLE = re.compile(rf"(?<!\w)({MALE}|{FEMALE}|{EITHER})\.? ")
+TITLES = frozenset("|".join((MALE, FEMALE, EITHER)).split("|"))
+NAME_WORD = re.compile(
+    rf"(?P<particles>(?:(?:{PARTICLES}) )*)(?:(?P<initial>{_WORD})\.|(?P<word>{_WORD}+(?:['’-]{_WORD}+)*))"
 )
 #: True of every text with an entity, for the scan; digits may be parted by what the patterns allow.
-MAYBE = rf"@|\d(?:[ .()-]{{0,2}}\d){{3}}|[A-Z]{{2}}\d\d ?[A-Z0-9]{{4}}|(?=[MHSFDPгκ])(?:{MALE}|{FEMALE}|{EITHER})\.? \p{{IsUppercase}}"
+MAYBE = (
+    rf"@|\d(?:[ .()-]{{0,2}}\d){{3}}|[A-Z]{{2}}\d\d ?[A-Z0-9]{{4}}|(?:[0-9A-Fa-f]{{1,4}}:){{2,6}}(?::|(?:[0-9A-Fa-f]{{1,4}}:){{4}})"
+    rf"|(?=[MHSFDPгκ])(?:{MALE}|{FEMALE}|{EITHER})\.? (?:(?:{PARTICLES}) )*\p{{IsUppercase}}"
+)
 DIGITS = ("ip", "card", "ssn", "phone")
 
 # Names by script and gender.
@@ -75,14 +95,53 @@ def script_of(letter: str) -> str:
     return "cyrillic" if "Ѐ" <= letter <= "ӿ" else "latin"
 
 
-def _capitalised(name: str) -> str:
-    """The words of a name up to the first that has no capital."""
-    end = 0
-    for m in re.finditer(r"[^ -]+", name):
-        if not m[0][0].isupper():
+def name_words(text: str, at: int) -> list[tuple[int, int, str, str]]:
+    """``start, end, kind, canonical`` of the words of a name that begins at a place, none if there is none.
+
+    The last word is the family name with its particles, those before it are given names or initials.
+    """
+    words: list[tuple[int, int, str, str]] = []
+    while sum(kind != "initial" for _, _, kind, _ in words) < 3 and (m := NAME_WORD.match(text, at)):
+        word = m["initial"] or m["word"]
+        if word in TITLES or not word[0].isupper():
+            break
+        # A compound such as "Smith-led" ends where its small letters begin.
+        end = m.end() if m["initial"] else m.start("word") + len(re.split(r"-(?=[^\W\d_])", word)[0])
+        for piece in re.finditer(r"-([^\W\d_])[^-]*", word) if not m["initial"] else ():
+            if not piece[1].isupper():
+                break
+            end = m.start("word") + piece.end()
+        words.append((m.start(), end, "initial" if m["initial"] else "given", text[m.start() : end].lower()))
+        at = end + text.startswith(" ", end)
+        if at == end and not m["initial"]:
             break
-        end = m.end()
-    return name[:end]
+    # A single letter with a full stop is a name only before another word.
+    while words and words[-1][2] == "initial" and len(words) > 1:
+        words.pop()
+    if words and words[-1][2] == "given":
+        words[-1] = (*words[-1][:2], "family", words[-1][3])
+    return words
+
+
+def persons(text: str) -> Iterator[tuple[int, int, str]]:
+    """``start, end, canonical`` of names after a form of address; the search goes on behind each name."""
+    at = 0
+    while m := TITLE.search(text, at):
+        words = name_words(text, m.end())
+        at = words[-1][1] if words else m.end()
+        if words:
+            gender = "m" if m[1] in MALE.split("|") else "f" if m[1] in FEMALE.split("|") else "x"
+            yield words[0][0], at, f"{gender}:{text[words[0][0] : at].lower()}"
+
+
+def parts(kind: str, mention: str) -> list[tuple[str, str]]:
+    """``kind, canonical`` of what has a surrogate of its own in a mention of an entity."""
+    if kind == "person":
+        return [(part, canonical) for _, _, part, canonical in name_words(mention, 0) if part != "initial"]
+    if kind == "email":
+        local, _, domain = mention.lower().partition("@")
+        return [("local", local), ("domain", domain)]
+    return []
 
 
 def entities(text: str) -> list[tuple[int, int, str, str]]:
@@ -92,18 +151,19 @@ def entities(text: str) -> list[tuple[int, int, str, str]]:
         if kind == "email" and "@" not in text:
             continue
         for m in re.finditer(pattern, text):
-            if kind == "person":
-                name = _capitalised(m[1])
-                if name:
-                    title = m[0][: m.start(1) - m.start()].rstrip(" .")
-                    gender = "m" if title in MALE.split("|") else "f" if title in FEMALE.split("|") else "x"
-                    found.append((m.start(1), rank, m.start(1) + len(name), kind, f"{gender}:{name.lower()}"))
+            if kind == "ipv6":
+                try:
+                    canonical = f"{ipaddress.IPv6Address(m[0]).exploded}"
+                except ValueError:
+                    continue
+                found.append((m.start(), rank, m.end(), kind, canonical))
             elif kind == "ip":
                 found.append((m.start(), rank, m.end(), kind, ".".join(str(int(x)) for x in m[0].split("."))))
             elif kind in DIGITS:
                 found.append((m.start(), rank, m.end(), kind, re.sub(r"\D", "", m[0])))
             else:
                 found.append((m.start(), rank, m.end(), kind, m[0].lower().replace(" ", "")))
+    found += [(start, len(PATTERNS), end, "person", canonical) for start, end, canonical in persons(text)]
     out, upto = [], 0
     for start, _, end, kind, canonical in sorted(found):
         if start >= upto and end > start:
@@ -158,45 +218,57 @@ def _iban(canonical: str, draw: Callable[[int], int]) -> str:
     return f"{canonical[:2]}{98 - int(number + '00') % 97:02d}{body}"
 
 
-def surrogate(key: str, kind: str, canonical: str, attempt: int) -> str:
-    """The canonical value of the surrogate."""
+def surrogate(key: str, kind: str, canonical: str, attempt: int, gender: str = "x") -> str:
+    """The canonical value of the surrogate; ``gender`` is that of a given name."""
     draw = _draws(key, kind, canonical, attempt)
-    if kind == "email":
-        local, _, domain = canonical.partition("@")
-        labels = [_shaped(x, draw) for x in domain.split(".")[:-1]]
-        longer = local + next((c for c in local if c.isalpha()), "a") * (attempt // 4)
-        return f"{_shaped(longer, draw)}@{'.'.join([*labels, 'example'])}"
-    if kind not in ("ip", "person"):
-        # Numbers run out where a corpus has about half of all of their form: then digits are added at the end.
-        valid = kind == "card" and luhn(canonical) == 0
-        canonical += "0" * (attempt // 8)
-    if kind == "iban":
-        return _iban(canonical, draw)
+    if kind == "local":
+        return _shaped(canonical + next((c for c in canonical if c.isalpha()), "a") * (attempt // 4), draw)
+    if kind == "domain":
+        labels = canonical.split(".")[:-1]
+        labels[0] += next((c for c in labels[0] if c.isalpha()), "a") * (attempt // 4)
+        return ".".join([*(_shaped(x, draw) for x in labels), "example"])
+    if kind in ("given", "family"):
+        script = script_of(canonical.rpartition(" ")[2][0])
+        names = [n for g in ("m", "f") if gender in (g, "x") for n in GIVEN[script, g]] if kind == "given" else FAMILY[script]
+        # Names run out sooner than numbers: later attempts are compounds.
+        return "-".join(names[draw(len(names))] for _ in range(1 + attempt // 2)).lower()
+    if kind == "ipv6":
+        # The range for documentation.
+        return ":".join(["2001", "0db8", *(f"{draw(65536):04x}" for _ in range(6))])
     if kind == "ip":
         first = canonical.split(".")[0]
         keep = first in ("10", "127") and attempt < 8
         return ".".join([first if keep else str(1 + draw(223)), *[str(draw(256)) for _ in range(3)]])
+    # Numbers run out where a corpus has about half of all of their form: then digits are added at the end.
+    valid = kind == "card" and luhn(canonical) == 0
+    canonical += "0" * (attempt // 8)
+    if kind == "iban":
+        return _iban(canonical, draw)
     if kind == "card":
         body = canonical[0] + "".join(str(draw(10)) for _ in canonical[2:])
         check = next(d for d in "0123456789" if luhn(body + d) == 0)
         wrong = str((int(check) + 1 + draw(9)) % 10)
         return body + (check if valid else wrong)
-    if kind == "person":
-        gender, _, name = canonical.partition(":")
-        script = script_of(name[0])
-        given = [n for g in ("m", "f") if gender in (g, "x") for n in GIVEN[script, g]]
-        family = FAMILY[script]
-        parts = [family[draw(len(family))]]
-        if re.search("[ -]", name):
-            parts.insert(0, given[draw(len(given))])
-        # Names run out sooner than numbers: later attempts add family names.
-        parts += [family[draw(len(family))] for _ in range(attempt // 4)]
-        return f"{gender}:{' '.join(parts).lower()}"
     if kind == "phone":
         return canonical[:1] + "".join(str(draw(10)) for _ in canonical[1:])
     return "".join(str(draw(10)) for _ in canonical)
 
 
+def moved_initial(key: str, letter: str) -> str:
+    """Another letter of the alphabet, a different one for each; a letter of no alphabet here becomes one that is."""
+    letters = ALPHABETS[script_of(letter)]
+    by = 1 + _draws(key, "initial", letters, 0)(len(letters) - 1)
+    at = letters.find(letter.lower())
+    return letters[(at + by) % len(letters)].upper()
+
+
+def _cased(mention: str, value: str) -> str:
+    letters = [c for c in mention if c.isalpha()]
+    if len(letters) > 1 and all(c.isupper() for c in letters):
+        return value.upper()
+    return value
+
+
 def rendered(kind: str, mention: str, value: str) -> str:
     """The surrogate in the punctuation and case of the mention."""
     if kind in DIGITS and kind != "ip":
@@ -204,48 +276,80 @@ def rendered(kind: str, mention: str, value: str) -> str:
         return "".join([*(next(digits) if c.isdecimal() else c for c in mention), *digits])
     if kind == "ip":
         return value
+    if kind == "ipv6":
+        return str(ipaddress.IPv6Address(value)) if "::" in mention else value
     if kind == "iban":
         letters = iter(value.upper())
         return "".join([*(c if c == " " else next(letters) for c in mention), *letters])
+    if kind in ("given", "family"):
+        return _cased(mention, value.title())
+    letters = [c for c in mention if c.isalpha()]
+    cased = _cased(mention, value)
+    return cased[:1].upper() + cased[1:] if kind == "local" and letters and letters[0].isupper() else cased
+
+
+def replaced(key: str, kind: str, canonical: str, mention: str, table: dict[tuple[str, str], str]) -> str:
+    """What a mention becomes: its surrogate, or those of its parts."""
     if kind == "person":
-        value = value.partition(":")[2].title()
-    letters = [c for c in mention.partition("@")[0] if c.isalpha()]
-    if len(letters) > 1 and all(c.isupper() for c in letters):
-        return value.upper()
-    if kind == "email" and letters and letters[0].isupper():
-        return value[:1].upper() + value[1:]
-    return value
+        out, at = [], 0
+        for start, end, part, name in name_words(mention, 0):
+            new = moved_initial(key, mention[start]) + "." if part == "initial" else rendered(part, mention[start:end], table[part, name])
+            out += [mention[at:start], new]
+            at = end
+        return "".join(out)
+    if kind == "email":
+        local, _, domain = mention.partition("@")
+        shouted = local.isupper() and domain.isupper()
+        new = table["domain", domain.lower()]
+        return f"{rendered('local', local, table['local', local.lower()])}@{new.upper() if shouted else new}"
+    return rendered(kind, mention, table[kind, canonical])
 
 
-def replace(text: str, table: dict[tuple[str, str], str]) -> tuple[str, int]:
+def replace(text: str, table: dict[tuple[str, str], str], key: str = EXAMPLE_KEY) -> tuple[str, int]:
     """Text with every entity replaced by its surrogate, and their number."""
     out, at, n = [], 0, 0
     for start, end, kind, canonical in entities(text):
-        out += [text[at:start], rendered(kind, text[start:end], table[kind, canonical])]
+        out += [text[at:start], replaced(key, kind, canonical, text[start:end], table)]
         at, n = end, n + 1
     return "".join([*out, text[at:]]), n
 
 
+def keyed_parts(text: str) -> Iterator[tuple[str, str, str]]:
+    """``kind, canonical, gender`` of all that needs a surrogate of its own."""
+    for start, end, kind, canonical in entities(text):
+        gender = canonical[0] if kind == "person" else "x"
+        for part, value in parts(kind, text[start:end]) if kind in ("person", "email") else [(kind, canonical)]:
+            yield part, value, gender if part == "given" else "x"
+
+
 def _found_in_blocks(blocked: DataFrame) -> DataFrame:
-    """``block, kind, canonical``, each once per task."""
+    """``block, kind, canonical, gender``, each once per task."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen = set()
             for block, text in zip(batch.column("block"), batch.column("text"), strict=True):
                 own = block.as_py()
-                seen.update((own, kind, canonical) for _, _, kind, canonical in entities(text.as_py() or ""))
-            columns = list(zip(*sorted(seen), strict=True)) or [(), (), ()]
-            kinds = (pa.int32(), pa.string(), pa.string())
+                seen.update((own, *part) for part in keyed_parts(text.as_py() or ""))
+            columns = list(zip(*sorted(seen), strict=True)) or [(), (), (), ()]
+            kinds = (pa.int32(), pa.string(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["block", "kind", "canonical"]
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["block", "kind", "canonical", "gender"]
             )
 
-    return blocked.select("block", "text").mapInArrow(read, "block int, kind string, canonical string").distinct()
+    out = "block int, kind string, canonical string, gender string"
+    return blocked.select("block", "text").mapInArrow(read, out).distinct()
+
+
+def distinct_parts(pairs: DataFrame) -> DataFrame:
+    """``kind, canonical, gender``: a name's gender is what its mentions tell, ``x`` if nothing or both."""
+    told = F.collect_set(F.when(F.col("gender") != "x", F.col("gender")))  # two values at most
+    gender = F.when(F.size(told) == 1, told[0]).otherwise("x")
+    return pairs.groupBy("kind", "canonical").agg(gender.alias("gender"))
 
 
 def assign_surrogates(found: DataFrame, key: str) -> DataFrame:
-    """``kind, canonical, surrogate`` for distinct entities (``kind, canonical``), no two alike, none an original.
+    """``kind, canonical, surrogate`` for distinct parts (``kind, canonical, gender``), no two alike, none an original.
 
     Each round draws for all that are left, keeps the first claimant of every free surrogate, and is written once.
     """
@@ -254,8 +358,8 @@ def assign_surrogates(found: DataFrame, key: str) -> DataFrame:
     def draw(attempt: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                pairs = zip(b.column("kind").to_pylist(), b.column("canonical").to_pylist(), strict=True)
-                drawn = [surrogate(key, kind, canonical, attempt) for kind, canonical in pairs]
+                rows = zip(*[b.column(c).to_pylist() for c in ("kind", "canonical", "gender")], strict=True)
+                drawn = [surrogate(key, kind, canonical, attempt, gender) for kind, canonical, gender in rows]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("kind"), b.column("canonical"), pa.array(drawn, pa.string())],
                     ["kind", "canonical", "surrogate"],
@@ -263,7 +367,7 @@ def assign_surrogates(found: DataFrame, key: str) -> DataFrame:
 
         return propose
 
-    left, accepted, attempt = found.select("kind", "canonical"), None, 0
+    left, accepted, attempt = found.select("kind", "canonical", "gender"), None, 0
     originals = found.select("kind", F.col("canonical").alias("surrogate"))
     while True:
         drawn = left.mapInArrow(draw(attempt), proposals)
@@ -287,17 +391,17 @@ def replace_entities(
     parts = shuffle_partitions(docs.sparkSession)
     row = F.struct(*[c for c in columns if c != text]).alias("row")
     blocked = docs.filter(maybe).select(
-        row, F.col(text).alias("text"), block_number(docs, F.col(row_key)).alias("block")
+        row, F.col(text).alias("text"), block_number(docs, F.struct(row_key, text)).alias("block")
     ).repartition(parts, "block")
     pairs = stage(_found_in_blocks(blocked), "mentions")
-    found = stage(pairs.select("kind", "canonical").distinct(), "entities")
-    known = pairs.join(assign_surrogates(found, key), ["kind", "canonical"])
+    found = stage(distinct_parts(pairs), "entities")
+    known = pairs.select("block", "kind", "canonical").join(assign_surrogates(found, key), ["kind", "canonical"])
 
     def write(own: pa.Table, entries: pa.Table) -> pa.Table:
         release()
         names = zip(entries.column("kind").to_pylist(), entries.column("canonical").to_pylist(), strict=True)
         table = dict(zip(names, entries.column("surrogate").to_pylist(), strict=True))
-        out = [replace(t.as_py(), table) for t in own.column("text")]
+        out = [replace(t.as_py(), table, key) for t in own.column("text")]
         return pa.table(
             {
                 "row": own.column("row"),
