@@ -4,8 +4,10 @@ Everything is a Column expression over one text, so a scan moves no rows and lon
 
 Spans are structs ``start, rank, end, kind`` with code point positions, end exclusive, in order of start,
 then of rank. Base kinds keep every leftmost, non-overlapping match that is long enough. The entropy kinds
-slide a window over each run of 20 or more characters of ``[A-Za-z0-9+/_=-]`` that mixes letters and
-digits. Moving by one character lowers one count and raises another; the sum of ``n*log2(n)`` follows, held
+slide a window over each run of 20 or more characters of ``[A-Za-z0-9+/_=-]`` that looks drawn: letters and digits
+mixed, or letters of both cases that are not words strung together. Runs shorter than the wide window have a window
+of their own, with the threshold in the same proportion. Small letters alone tell words and keys not apart and
+are left. Moving by one character lowers one count and raises another; the sum of ``n*log2(n)`` follows, held
 in whole units of 2**-20 bit so that no error gathers. A span reaches from the first window at or above the
 threshold of its class to the end of the last one. Runs that match an allow-list pattern add nothing.
 
@@ -29,11 +31,19 @@ HEX = r"[0-9a-f]+"
 
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 
+# A segment of a path: words or short numbers, parted by signs or capitals.
+_PIECE = r"(?:[a-z]+|[A-Z]+|[a-z]*(?:[A-Z][a-z]{2,})+)[0-9]{0,4}"
+_WORDS = rf"(?:{_PIECE}|[0-9]{{1,4}})(?:[_=-]+(?:{_PIECE}|[0-9]{{1,4}}))*"
+# Words of two letters within such names.
+SHORT_WORDS = "An|As|At|By|Do|If|In|Is|It|My|No|Of|On|Or|To|Up|We"
+#: Words strung together, told by their capitals.
+CAMEL = rf"^[a-z]*(?:[A-Z]*(?:{SHORT_WORDS}|[A-Z][a-z]{{2,}}))*[A-Z]*$"
+
 ALLOWED = (
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",  # UUID
     r"(?i)example|sample|dummy|placeholder|changeme|redacted",
     r"(?i)0123456789|1234567890|abcdefghij",
-    r"^/?(?:[A-Za-z_=-]+/)+[A-Za-z0-9_=-]*$",  # file path of plain words
+    rf"^/?(?:{_WORDS}/)+(?:{_WORDS})?$",  # file path of plain words
 )
 
 
@@ -44,11 +54,13 @@ class CharClass(NamedTuple):
     threshold: float  # bits per character
 
 
+SHORTEST = 20
+_WIDE = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CLASSES = (
     CharClass("entropy_hex", "0123456789abcdef", 20, 3.0),
-    CharClass(
-        "entropy_base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 24, 3.9
-    ),
+    CharClass("entropy_base64", _WIDE, 24, 3.9),
+    CharClass("entropy_base64", _WIDE, SHORTEST, 3.9 * math.log2(SHORTEST) / math.log2(24)),
+    CharClass("entropy_base64", _WIDE, SHORTEST, 3.5),  # one case and digits, which are fewer symbols
 )
 BASE_KINDS = ("assign", "access", "hex")
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
@@ -174,9 +186,23 @@ def hot_windows(run: Column, spec: CharClass) -> Column:
     return F.element_at(F.transform(F.array(codes), slide), 1)
 
 
+HEX_RUN = r"^(?:[0-9a-f]+|[0-9A-F]+)$"
+#: What makes a run look drawn, by the class it is judged in.
+MIXED = r"^(?=.*[0-9])(?=.*[A-Za-z])"
+BOTH_CASES = r"^(?=.*[a-z])(?=.*[A-Z])"
+#: One case alone: letters and digits without signs that change places at least three times.
+ALTERNATING = r"^(?=(?:[a-z0-9]+|[A-Z0-9]+)$)(?:.*[0-9][A-Za-z]){3}"
+
+
 def _class_of(run: Column) -> Column:
-    """Number of the run's class: hex digits of one case alone, or the wider class."""
-    return F.when(run.rlike(r"^[0-9a-f]+$"), 0).otherwise(1)
+    """Number of the run's class: hex digits of one case alone, one case with digits, else the wide or the short window."""
+    return F.when(run.rlike(HEX_RUN), 0).when(run.rlike(ALTERNATING), 3).when(F.length(run) >= CLASSES[1].window, 1).otherwise(2)
+
+
+def _drawn(run: Column, cls: Column) -> Column:
+    letters = run.rlike("^[A-Za-z]+$") & run.rlike(BOTH_CASES) & ~run.rlike(CAMEL)
+    mixed = run.rlike(MIXED)
+    return (mixed & ((cls != 2) | run.rlike(BOTH_CASES))) | letters
 
 
 def secret_spans(
@@ -201,22 +227,25 @@ def secret_spans(
     )
 
     def entropy_span(run: Column, end: Column) -> Column:
-        fair = run.rlike("[0-9]") & run.rlike("[A-Za-z]")
+        cls = _class_of(run)
+        fair = _drawn(run, cls)
         for pattern in allowed:
             fair = fair & ~run.rlike(pattern)
         start = end - F.length(run)
 
         def spans(spec: CharClass, rank: int) -> Column:
             hot = F.transform(
-                F.array(hot_windows(run, spec)),
+                F.array(hot_windows(F.lower(run) if spec is CLASSES[0] else run, spec)),
                 lambda w: F.when(
                     w["last"] > 0, _span(start + w["first"] - spec.window, rank, start + w["last"], spec.kind)
                 ),
             )
             return F.element_at(hot, 1)
 
-        cls = _class_of(run)
-        return F.when(fair & (cls == 0), spans(CLASSES[0], 3)).when(fair & (cls == 1), spans(CLASSES[1], 4))
+        judged = F.when(cls == 0, spans(CLASSES[0], 3))
+        for n in (1, 2, 3):
+            judged = judged.when(cls == n, spans(CLASSES[n], 4))
+        return F.when(fair, judged)
 
     added = F.filter(F.zip_with(r, f"{r}_end", entropy_span), lambda s: s.isNotNull())
     df = df.withColumn(f"{out}_base", F.sort_array(base.cast(SPAN)))
