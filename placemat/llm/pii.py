@@ -63,7 +63,7 @@ NAME_WORD = re.compile(
 )
 #: True of every text with an entity, for the scan; digits may be parted by what the patterns allow.
 MAYBE = (
-    rf"@|\d(?:[ .()-]{{0,2}}\d){{3}}|[A-Z]{{2}}\d\d ?[A-Z0-9]{{4}}|(?:[0-9A-Fa-f]{{1,4}}:){{2,6}}(?::|(?:[0-9A-Fa-f]{{1,4}}:){{4}})"
+    rf"@|\d(?:[ .()-]{{0,2}}\d){{3}}|[A-Z]{{2}}\d\d ?[A-Z0-9]{{4}}|:[0-9A-Fa-f]{{0,4}}:"
     rf"|(?=[MHSFDPгκ])(?:{MALE}|{FEMALE}|{EITHER})\.? (?:(?:{PARTICLES}) )*\p{{IsUppercase}}"
 )
 DIGITS = ("ip", "card", "ssn", "phone")

@@ -148,3 +148,11 @@ def test_odd_documents(odd, none):
     assert out.where("text is null").count() == odd.where("text is null").count()
     assert "Anna.Bell" not in " ".join(r.text or "" for r in out.collect())
     assert pii.replace_entities(none).count() == 0
+
+
+def test_scan_lets_every_form_through(spark):
+    """Texts with one entity each, which the pattern of the scan must not hold back."""
+    texts = ["at 2001:db8::1 now", "fe80:0:0:0:1:2:3:4", "+33 6 12 34 56 78", "Herr von Braun", "Mr. J. Smith", "a@b.org", "1.2.3.4", "12:30:45"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_replaced for r in pii.replace_entities(frame).collect()}
+    assert [got[i] for i in range(len(texts))] == [1] * 7 + [0]
