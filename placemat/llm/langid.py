@@ -5,6 +5,11 @@ keeps its largest response; a softmax layer reads them. The network is trained i
 of at most SAMPLE documents per language, of which at most SNIPPET code points from the middle are used. It is then
 applied to all windows of the whole text, in batches, and a document's score is the mean over its windows.
 
+Beside the languages the network learns one class of text in none of them, from noise that is made of the sample
+itself and at random (``_noise``), so that a text can be rejected. Rejection goes by the share of that class alone, so a
+text in two of the languages is none of them's for certain and yet accepted. The limit of each language is set by documents of the
+sample that were not trained on.
+
 A text that is null or has no letter is ``und`` with score 0. With nothing to learn from, every text is. Rows
 without a key are never learnt from. Repeated rows get equal results; an empty table an empty one.
 """
@@ -35,6 +40,12 @@ STEPS = 700
 BATCH = 64
 CROPS = 6
 RATE = 4e-3
+#: Noise windows per training document, and the one document of so many that is kept from training to set limits.
+NOISE_CROPS = 2
+CHECKED = 5
+#: Limits are this share of the least probability, of all languages together, of such a document, within these bounds.
+LIMIT_SHARE = 0.8
+LIMIT_BOUNDS = (0.2, 0.5)
 
 
 class Model(NamedTuple):
@@ -42,8 +53,9 @@ class Model(NamedTuple):
     embed: np.ndarray  # byte x EMBED
     filters: np.ndarray  # widest * EMBED x filters
     bias: np.ndarray
-    out: np.ndarray  # filters x languages
+    out: np.ndarray  # filters x (languages, then the class of other text)
     out_bias: np.ndarray
+    limits: np.ndarray  # per language, the least probability of all languages together
 
 
 def held_out(key: Column) -> Column:
@@ -82,7 +94,7 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
 
 
 def window_scores(model: Model, windows: np.ndarray) -> np.ndarray:
-    """Probability of each language, per window of LENGTH bytes."""
+    """Probability of each language and, last, of other text, per window of LENGTH bytes."""
     _, responses = _responses(model, windows)
     pooled = np.maximum(responses.max(axis=1) + model.bias, 0)
     return _softmax(pooled @ model.out + model.out_bias)
@@ -99,23 +111,65 @@ def _crops(text: str, rng: np.random.Generator) -> np.ndarray:
     return rows
 
 
+def _noise(text: str, rng: np.random.Generator) -> str:
+    """Text in no language: the code points of ``text`` in another order, or letters drawn alike from a small or a
+    large alphabet, or from a stretch of the code points of any script, in one run or in words."""
+    kind, n = int(rng.integers(0, 4)), LENGTH
+    if kind == 0:
+        return "".join(rng.permutation(list(text[: 4 * n])))
+    if kind == 1:
+        letters = [c for c in set(text.lower()) if c.isalpha()] or ["x"]
+    elif kind == 2:
+        letters = list("abcdefghijklmnopqrstuvwxyz0123456789+/=_-")
+    else:
+        start = int(rng.integers(0x250, 0xD700))
+        letters = [chr(c) for c in range(start, start + int(rng.integers(20, 200)))]
+    drawn = rng.choice(letters, n)
+    if rng.random() < 0.6:
+        drawn[rng.random(n) < 1 / rng.integers(3, 12)] = " "
+    return "".join(drawn)
+
+
 def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
-    """Fit by Adam on softmax loss."""
+    """Fit by Adam on softmax loss; one document of CHECKED per language sets its limit, where it has so many."""
     rng = np.random.default_rng(seed)
     langs = sorted(set(labels))
+    seen_so_far: dict[str, int] = {}
+    checks: list[int] = []
+    for i, label in enumerate(labels):
+        seen_so_far[label] = seen_so_far.get(label, 0) + 1
+        if seen_so_far[label] % CHECKED == 0:
+            checks.append(i)
+    learnt = sorted(set(range(len(texts))) - set(checks))
+    model = _fitted([texts[i] for i in learnt], [langs.index(labels[i]) for i in learnt], langs, rng)
+    lowest, highest = LIMIT_BOUNDS
+    limits = np.full(len(langs), lowest)
+    if checks:
+        own = np.array([langs.index(labels[i]) for i in checks])
+        scores = 1 - document_scores(model, [texts[i] for i in checks])[:, -1]
+        for k in range(len(langs)):
+            if (own == k).any():
+                limits[k] = np.clip(LIMIT_SHARE * scores[own == k].min(), lowest, highest)
+    return model._replace(limits=limits)
+
+
+def _fitted(texts: list[str], labels: list[int], langs: list[str], rng: np.random.Generator) -> Model:
     mask = _mask()
+    classes = len(langs) + 1
     wide, count = mask.shape
     model = Model(
         langs,
         rng.normal(0, 0.5, (256, EMBED)).astype(np.float32),
         (rng.normal(0, wide**-0.5, mask.shape) * mask).astype(np.float32),
         np.zeros(count, np.float32),
-        rng.normal(0, count**-0.5, (count, len(langs))).astype(np.float32),
-        np.zeros(len(langs), np.float32),
+        rng.normal(0, count**-0.5, (count, classes)).astype(np.float32),
+        np.zeros(classes, np.float32),
+        np.zeros(len(langs)),
     )
-    x = np.concatenate([_crops(t, rng) for t in texts])
-    y = np.repeat([langs.index(v) for v in labels], CROPS)
-    params = [p for p in model[1:]]
+    noise = [_crops(_noise(t, rng), rng)[:1] for t in texts for _ in range(NOISE_CROPS)]
+    x = np.concatenate([*[_crops(t, rng) for t in texts], *noise])
+    y = np.concatenate([np.repeat(labels, CROPS), np.full(len(noise), classes - 1)])
+    params = list(model[1:-1])
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     for step in range(1, STEPS + 1):
         pick = rng.integers(0, len(x), BATCH)
@@ -165,8 +219,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
 
 
 def document_scores(model: Model, texts: list[str]) -> np.ndarray:
-    """Mean probabilities over the windows of each text; texts are not empty."""
-    total = np.zeros((len(texts), len(model.langs)))
+    """Mean probabilities of ``window_scores`` over the windows of each text; texts are not empty."""
+    total = np.zeros((len(texts), len(model.langs) + 1))
     counts = np.zeros(len(texts))
     held, owners, size = [], [], 0
 
@@ -194,25 +248,30 @@ def document_scores(model: Model, texts: list[str]) -> np.ndarray:
 
 
 def _with_scores(docs: DataFrame, model: Model | None, text: str) -> DataFrame:
-    """``docs`` with ``__language``: the predicted language and its score. Only the text goes to Python, in small slices."""
+    """``docs`` with ``__language``: the likeliest language, its score, and whether the text is in a language at all, by
+    the limit of the likeliest. Only the text goes to Python, in small slices."""
     if model is None:
-        unknown = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"))
+        unknown = F.struct(F.lit(UNKNOWN).alias("lang"), F.lit(0.0).alias("score"), F.lit(False).alias("known"))
         return docs.withColumn("__language", unknown)
 
-    @F.arrow_udf("lang string, score double")
+    @F.arrow_udf("lang string, score double, known boolean")
     def classify(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            langs, scores = [], []
+            langs, scores, knowns = [], [], []
             for few in slices(pa.RecordBatch.from_arrays([batch], ["text"]), "text"):
                 texts = few.column("text").to_pylist()
                 some = [i for i, t in enumerate(texts) if t]
                 found = document_scores(model, [texts[i] for i in some])
-                lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
-                for i, k, top in zip(some, found.argmax(axis=1).tolist(), found.max(axis=1, initial=0.0).tolist(), strict=True):
-                    lang[i], score[i] = model.langs[k], min(top, 1.0)
+                found, other = found[:, :-1], found[:, -1].tolist()
+                lang, score, known = [UNKNOWN] * len(texts), [0.0] * len(texts), [False] * len(texts)
+                best, top = found.argmax(axis=1).tolist(), found.max(axis=1, initial=0.0).tolist()
+                for i, k, p, rest in zip(some, best, top, other, strict=True):
+                    lang[i], score[i], known[i] = model.langs[k], min(p, 1.0), bool(1 - rest >= model.limits[k])
                 langs += lang
                 scores += score
-            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["lang", "score"])
+                knowns += known
+            columns = [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(knowns, pa.bool_())]
+            yield pa.StructArray.from_arrays(columns, ["lang", "score", "known"])
             del batch
             release()
 
@@ -226,8 +285,6 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     return found.withColumns({"lang_pred": F.col("__language.lang"), "score": F.col("__language.score")}).drop("__language")
 
 
-def keep_known(docs: DataFrame, model: Model | None, least: float = 0.3, text: str = "text") -> DataFrame:
-    """The documents whose language is recognised with a score of at least ``least``; columns as they came."""
-    found = _with_scores(docs, model, text)
-    known = (F.col("__language.lang") != UNKNOWN) & (F.col("__language.score") >= least)
-    return found.filter(known).select(*docs.columns)
+def keep_known(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """The documents that are in one of the languages, or in several; columns as they came."""
+    return _with_scores(docs, model, text).filter(F.col("__language.known")).select(*docs.columns)
