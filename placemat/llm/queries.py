@@ -34,6 +34,7 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         winnow.fingerprint_text(F.col("other")).alias("edited_fingerprint"),
         "near_edited",
         "near_next",
+        F.array_join(winnow.positions(F.col("own")), " ").alias("positions"),
     )
 
 

@@ -1,12 +1,14 @@
 """Document fingerprints by winnowing, and the likeness of neighbouring documents.
 
-A text is read as words (no ASCII white space). Each run of K words has a 32-bit hash; of every window of
-WINDOW successive runs the smallest hash is chosen, the rightmost one where equal, and kept with its
-position. Two texts that share ``K + WINDOW - 1`` words in a row therefore share a chosen hash, and its
-positions say where.
-
-A text of fewer than K words has one run, of the words it has; a text without words, or null, has an empty
-fingerprint. Shorter than one window counts as one window. Likeness is the share of common distinct hashes
+A text is read as code points. Each run of K of them has a polynomial hash modulo PRIME, which is put together from the
+hashes of its parts: those of runs of 1, 2, 4 and 8 code points are extended at all places at once, so no run is read anew.
+Of every window of WINDOW successive runs the smallest hash is chosen, the rightmost one where equal, and kept with
+its position. Two texts that share ``K + WINDOW - 1`` code points in a row therefore share a chosen hash, and its positions
+say where, also in text without spaces.
+
+Shorter texts have shorter windows (``WINDOWS``), so that a text of a few words has more than one hash. What a shorter
+window chooses includes what a longer one does, so texts of unlike length still compare. A text of fewer than K code points
+has one run, the whole text; an empty one, or null, has an empty fingerprint. Likeness is the share of common distinct hashes
 (Jaccard); two empty fingerprints are alike (1.0). Repeated rows each get their own result.
 """
 
@@ -17,16 +19,30 @@ from pyspark.sql import functions as F
 
 from placemat.llm.ranges import bound_array, order_key, range_bounds, range_of
 
-WORD = r"[^\x20\x09-\x0D]+"
-K = 3
-WINDOW = 8  # a power of two
+K = 12
+WINDOW = 32  # a power of two
+#: Windows of texts with fewer runs than the first number.
+WINDOWS = ((64, 1), (128, 4), (512, 16))
+PRIME = (1 << 31) - 1
+BASE = 1_000_003
+MIX = 1_540_483_477  # spreads the hashes, so that the smallest is not that of the smallest letters
 POSITION_BITS = 31
 LAST_POSITION = (1 << POSITION_BITS) - 1
 
 
+def _shifted(values: Column, by: int) -> Column:
+    return F.slice(values, F.lit(by + 1), F.greatest(F.size(values), F.lit(1)))
+
+
+def _extended(values: Column, following: Column, places: int, by: int) -> Column:
+    """Hashes of runs from those of their first ``by`` code points and of the ``places`` code points after these."""
+    factor = F.lit(pow(BASE, places, PRIME)).cast("bigint")
+    return F.zip_with(values, _shifted(following, by), lambda a, b: (a * factor + b) % F.lit(PRIME))
+
+
 def _shifted_least(values: Column, by: int) -> Column:
     """Smaller of each value and the one ``by`` places later; past the end there is none."""
-    return F.zip_with(values, F.slice(values, F.lit(by + 1), F.greatest(F.size(values), F.lit(1))), lambda a, b: F.least(a, b))
+    return F.zip_with(values, _shifted(values, by), lambda a, b: F.least(a, b))
 
 
 def fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -34,29 +50,42 @@ def fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
 
     Packed like this, the least value of a window is the least hash, and of equal ones the rightmost.
     """
-    w, g = f"__{out}_words", f"__{out}_grams"
-    df = df.withColumn(w, F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORD), F.lit(0)))
-
-    def packed(at: Column) -> Column:
-        run = F.xxhash64(*[F.get(F.col(w), at + i) for i in range(K)])
-        low = run.bitwiseAND(F.lit((1 << 32) - 1))
-        return F.shiftleft(low, POSITION_BITS).bitwiseOR(F.lit(LAST_POSITION).cast("bigint") - at)
-
-    runs = F.greatest(F.size(w) - K, F.lit(0))
-    df = df.withColumn(
-        g,
-        F.when(F.size(w) > 0, F.transform(F.sequence(F.lit(0), runs), packed)).otherwise(
-            F.array().cast("array<bigint>")
-        ),
-    )
-    least, reach = F.col(g), 1
+    before = df.columns
+
+    def step(name: str, value: Column) -> Column:
+        nonlocal df
+        df = df.withColumn(f"__{out}_{name}", value)
+        return F.col(f"__{out}_{name}")
+
+    read = F.coalesce(F.col(text), F.lit(""))
+    one = step("1", F.when(F.length(read) > 0, F.transform(F.split(read, ""), lambda c: F.ascii(c).cast("bigint"))).otherwise(
+        F.array().cast("array<bigint>")
+    ))
+    two = step("2", _extended(one, one, 1, 1))
+    four = step("4", _extended(two, two, 2, 2))
+    eight = step("8", _extended(four, four, 4, 4))
+    full = _extended(eight, four, 4, 8)
+    short = F.array(F.aggregate(one, F.lit(0).cast("bigint"), lambda h, c: (h * BASE + c) % F.lit(PRIME)))
+    runs = F.when(F.size(one) >= K, F.slice(full, F.lit(1), F.greatest(F.size(one) - (K - 1), F.lit(1))))
+    runs = step("runs", runs.when(F.size(one) > 0, short).otherwise(F.array().cast("array<bigint>")))
+
+    def packed(h: Column, at: Column) -> Column:
+        return F.shiftleft(h * F.lit(MIX) % F.lit(PRIME), POSITION_BITS).bitwiseOR(F.lit(LAST_POSITION).cast("bigint") - at)
+
+    least, reach = step("least1", F.transform(runs, packed)), 1
+    levels = {1: least}
     while reach < WINDOW:
-        name = f"__{out}_least{reach}"
-        df = df.withColumn(name, _shifted_least(least, reach))
-        least, reach = F.col(name), reach * 2
-    whole = F.slice(least, F.lit(1), F.greatest(F.size(least) - WINDOW + 1, F.lit(1)))
-    df = df.withColumn(out, F.array_distinct(whole))
-    return df.drop(w, g, *[c for c in df.columns if c.startswith(f"__{out}_least")])
+        least = step(f"least{2 * reach}", _shifted_least(least, reach))
+        reach *= 2
+        levels[reach] = least
+
+    def chosen(window: int) -> Column:
+        return F.array_distinct(F.slice(levels[window], F.lit(1), F.greatest(F.size(runs) - window + 1, F.lit(1))))
+
+    value = chosen(WINDOW)
+    for fewer, window in reversed(WINDOWS):
+        value = F.when(F.size(runs) < fewer, chosen(window)).otherwise(value)
+    return df.withColumn(out, value).select(*[c for c in before if c != out], out)
 
 
 def hashes(chosen: Column) -> Column:
@@ -64,7 +93,7 @@ def hashes(chosen: Column) -> Column:
 
 
 def positions(chosen: Column) -> Column:
-    """Word positions of the chosen runs."""
+    """Positions of the chosen runs, in code points."""
     return F.transform(chosen, lambda p: F.lit(LAST_POSITION) - p.bitwiseAND(F.lit(LAST_POSITION)))
 
 

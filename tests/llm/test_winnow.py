@@ -1,28 +1,30 @@
 import hashlib
-import re
 
-import xxhash
+import pytest
 from pyspark.sql import functions as F
 
 from placemat.llm import winnow
 from placemat.llm.queries import QUERIES
 
 
+def run_hash(run):
+    h = 0
+    for c in run:
+        h = (h * winnow.BASE + ord(c)) % winnow.PRIME
+    return h * winnow.MIX % winnow.PRIME
+
+
 def brute(text):
-    """Chosen (hash, position) pairs, window by window, as the text's own words give them."""
-    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
-    if not words:
+    """Chosen (hash, position) pairs, window by window, each run read from the text."""
+    text = text or ""
+    if not text:
         return []
-    grams = []
-    for at in range(max(1, len(words) - winnow.K + 1)):
-        h = 42
-        for word in words[at : at + winnow.K]:
-            h = xxhash.xxh64_intdigest(word.encode(), seed=h)
-        grams.append((h & 0xFFFFFFFF, at))
+    runs = [(run_hash(text[at : at + winnow.K]), at) for at in range(max(1, len(text) - winnow.K + 1))]
+    window = next((w for fewer, w in winnow.WINDOWS if len(runs) < fewer), winnow.WINDOW)
     chosen = []
-    for at in range(max(1, len(grams) - winnow.WINDOW + 1)):
-        least = min(grams[at : at + winnow.WINDOW], key=lambda g: (g[0], -g[1]))
-        if least not in chosen:
+    for at in range(max(1, len(runs) - window + 1)):
+        least = min(runs[at : at + window], key=lambda g: (g[0], -g[1]))
+        if not chosen or least != chosen[-1]:
             chosen.append(least)
     return chosen
 
@@ -43,22 +45,38 @@ def test_against_brute_force(spark, small, texts):
         r = got[doc]
         assert r.n_chars == len(text) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert r.fingerprint == " ".join(f"{h:x}" for h, _ in own)
+        assert r.positions == " ".join(str(at) for _, at in own)
         assert r.edited_fingerprint == " ".join(f"{h:x}" for h, _ in other)
         assert abs(r.near_edited - likeness(own, other)) < 1e-12
         assert abs(r.near_next - likeness(own, brute(following))) < 1e-12
 
 
 def test_positions_and_ties(spark):
-    frame = spark.createDataFrame([("a b c " * 20,), ("p q r s t u v w x y z",)], "text string")
+    frame = spark.createDataFrame([("a b c " * 20,), ("p q r s t u v w x y z",), ("ab" * 700,), ("x" * 900,), ("é\U0001f600z" * 90,), ("日本" * 5,)], "text string")
     for r in winnow.fingerprint(frame, "text", "f").select("text", winnow.positions(F.col("f")).alias("p")).collect():
         assert r.p == [at for _, at in brute(r.text)]
 
 
-def test_shared_words_share_a_hash(spark):
-    shared = " ".join(f"s{i}" for i in range(winnow.K + winnow.WINDOW - 1))
-    frame = spark.createDataFrame([(f"{'a b c d e ' * n}{shared} {'x y z ' * n}",) for n in range(6)], "text string")
-    sets = [set(r.h) for r in winnow.fingerprint(frame, "text", "f").select(winnow.hashes(F.col("f")).alias("h")).collect()]
-    assert set.intersection(*sets)
+def test_a_shared_passage_shares_a_hash(spark):
+    """At any place in texts of any length, with and without spaces."""
+    for shared in ("".join(chr(0x4E00 + 7 * i) for i in range(winnow.K + winnow.WINDOW - 1)), "one or two words of a passage that both texts hold"):
+        assert len(shared) >= winnow.K + winnow.WINDOW - 1
+        frame = spark.createDataFrame([(f"{'a b c d e ' * n}{shared}{' x y z' * (40 - n)}",) for n in (0, 3, 11, 25, 200)], "text string")
+        rows = winnow.fingerprint(frame, "text", "f").select("text", winnow.hashes("f").alias("h"), winnow.positions("f").alias("p")).collect()
+        within = []
+        for r in rows:
+            at = r.text.index(shared)
+            inside = range(at, at + len(shared) - winnow.K + 1)
+            within.append({(h, p - at) for h, p in zip(r.h, r.p, strict=True) if p in inside})
+        assert set.intersection(*within)
+
+
+@pytest.mark.parametrize("letters", ["abcdefghij klmno", "日本語文書検索試験一二三四五六", "abcdefghijklmnop"])
+def test_short_edited_texts_are_alike(spark, letters):
+    """Two thirds of a text stay, so the likeness is above zero from 18 code points on, with or without spaces."""
+    texts = ["".join(letters[(i * i + 3 * i * n + n) % len(letters)] for i in range(n)) for n in range(18, 140, 3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert all(r.near_edited > 0 for r in winnow.neighbour_likeness(docs).collect())
 
 
 def test_odd_documents(spark, odd, none):
@@ -69,4 +87,6 @@ def test_odd_documents(spark, odd, none):
         assert by_text.setdefault(r.text, r.own) == r.own and 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
     assert winnow.neighbour_likeness(none).count() == 0
     one = winnow.neighbour_likeness(spark.createDataFrame([(7, "a b c d")], "doc_id long, text string")).first()
+    clash = spark.createDataFrame([("a b", 1, 2)], "text string, f long, own long")
+    assert winnow.fingerprint(clash, "text", "f").columns == ["text", "own", "f"]
     assert one.edited == "a b ca " and one.near_next == 1.0
