@@ -1,15 +1,16 @@
 """Document fingerprints by winnowing, and the likeness of neighbouring documents.
 
-A text is read as code points. Each run of K of them has a polynomial hash modulo PRIME, which is put together from the
-hashes of its parts: those of runs of 1, 2, 4 and 8 code points are extended at all places at once, so no run is read anew.
-Of every window of WINDOW successive runs the smallest hash is chosen, the rightmost one where equal, and kept with
-its position. Two texts that share ``K + WINDOW - 1`` code points in a row therefore share a chosen hash, and its positions
-say where, also in text without spaces.
+A text is read as short pieces (``PIECE``): words are cut into pieces of at most four letters or digits, and any other sign, or
+letter of another script, is a piece of its own, so text without spaces has pieces as well. Each run of K pieces has
+a polynomial hash modulo PRIME, which is put together from the hashes of its parts: those of one and of two pieces are
+extended at all places at once, so no run is read anew. Of every window of WINDOW successive runs the smallest hash is
+chosen, the rightmost one where equal, and kept with its position. Two texts that share ``K + WINDOW - 1`` pieces in a row
+therefore share a chosen hash, and its positions say where.
 
 Shorter texts have shorter windows (``WINDOWS``), so that a text of a few words has more than one hash. What a shorter
-window chooses includes what a longer one does, so texts of unlike length still compare. A text of fewer than K code points
-has one run, the whole text; an empty one, or null, has an empty fingerprint. Likeness is the share of common distinct hashes
-(Jaccard); two empty fingerprints are alike (1.0). Repeated rows each get their own result.
+window chooses includes what a longer one does, so texts of unlike length still compare. A text of fewer than K pieces has
+one run, of those it has; a text without any, or null, has an empty fingerprint. Likeness is the share of common distinct
+hashes (Jaccard); two empty fingerprints are alike (1.0). Repeated rows each get their own result.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from pyspark.sql import functions as F
 
 from placemat.llm.ranges import bound_array, order_key, range_bounds, range_of
 
-K = 12
-WINDOW = 32  # a power of two
+PIECE = r"[A-Za-z\u00AA-\u02FF]{1,4}|[0-9]{1,4}|[^\x20\x09-\x0D]"
+K = 4
+WINDOW = 16  # a power of two
 #: Windows of texts with fewer runs than the first number.
-WINDOWS = ((64, 1), (128, 4), (512, 16))
+WINDOWS = ((32, 1), (128, 4))
 PRIME = (1 << 31) - 1
 BASE = 1_000_003
 MIX = 1_540_483_477  # spreads the hashes, so that the smallest is not that of the smallest letters
@@ -35,7 +37,7 @@ def _shifted(values: Column, by: int) -> Column:
 
 
 def _extended(values: Column, following: Column, places: int, by: int) -> Column:
-    """Hashes of runs from those of their first ``by`` code points and of the ``places`` code points after these."""
+    """Hashes of runs from those of their first ``by`` pieces and of the ``places`` pieces after these."""
     factor = F.lit(pow(BASE, places, PRIME)).cast("bigint")
     return F.zip_with(values, _shifted(following, by), lambda a, b: (a * factor + b) % F.lit(PRIME))
 
@@ -58,13 +60,10 @@ def fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
         return F.col(f"__{out}_{name}")
 
     read = F.coalesce(F.col(text), F.lit(""))
-    one = step("1", F.when(F.length(read) > 0, F.transform(F.split(read, ""), lambda c: F.ascii(c).cast("bigint"))).otherwise(
-        F.array().cast("array<bigint>")
-    ))
+    pieces = F.regexp_extract_all(read, F.lit(PIECE), F.lit(0))
+    one = step("1", F.transform(pieces, lambda piece: F.xxhash64(piece).bitwiseAND(F.lit(PRIME))))
     two = step("2", _extended(one, one, 1, 1))
-    four = step("4", _extended(two, two, 2, 2))
-    eight = step("8", _extended(four, four, 4, 4))
-    full = _extended(eight, four, 4, 8)
+    full = _extended(two, two, 2, 2)
     short = F.array(F.aggregate(one, F.lit(0).cast("bigint"), lambda h, c: (h * BASE + c) % F.lit(PRIME)))
     runs = F.when(F.size(one) >= K, F.slice(full, F.lit(1), F.greatest(F.size(one) - (K - 1), F.lit(1))))
     runs = step("runs", runs.when(F.size(one) > 0, short).otherwise(F.array().cast("array<bigint>")))
@@ -93,7 +92,7 @@ def hashes(chosen: Column) -> Column:
 
 
 def positions(chosen: Column) -> Column:
-    """Positions of the chosen runs, in code points."""
+    """Positions of the chosen runs, in pieces."""
     return F.transform(chosen, lambda p: F.lit(LAST_POSITION) - p.bitwiseAND(F.lit(LAST_POSITION)))
 
 
