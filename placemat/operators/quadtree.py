@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +38,8 @@ def _axis(value: Column, low: float, span: float) -> Column:
 
 
 def _spread_bits(n: Column) -> Column:
-    """The bits of a number below 2**32 with a zero before each."""
-    for by, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
-        n = n.bitwiseOR(F.shiftleft(n, by)).bitwiseAND(F.lit(mask).cast("bigint"))
-    return n
+    """The bits of a number with a zero before each: its binary digits, read to base 4."""
+    return F.conv(F.bin(n), 4, 10).cast("bigint")
 
 
 def _interleave(row: Column, column: Column) -> Column:
@@ -82,29 +81,30 @@ def _constants(values: Sequence[int]) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def leaf_of(position: Column, leaves: Leaves) -> Column:
-    """Index of the leaf whose interval holds the code, from 0, by halving."""
-    starts = _constants(leaves.starts)
-    ends = F.struct(F.lit(1).alias("lo"), F.lit(len(leaves.starts)).alias("hi"))
+def with_leaf(df: DataFrame, leaves: Leaves, position: Column, name: str = "_leaf") -> DataFrame:
+    """``df`` with the index of the leaf whose interval holds the code ``position``, from 0.
+
+    Spark's ``Bucketizer`` halves a sorted array in the JVM; codes are far below 2**53, so they are whole as doubles.
+    """
+    if len(leaves.starts) == 1:  # fewer than the two buckets that it asks for
+        return df.withColumn(name, F.lit(0))
+    cut = Bucketizer(splits=[*map(float, leaves.starts), float("inf")], inputCol="_position", outputCol=name)
+    found = cut.transform(df.withColumn("_position", position.cast("double"))).drop("_position")
+    return found.withColumn(name, F.col(name).cast("int"))
 
-    def halve(s: Column, _: Column) -> Column:
-        middle = F.floor((s["lo"] + s["hi"] + 1) / 2).cast("int")
-        right = F.element_at(starts, middle) <= position
-        return F.struct(
-            F.when(right, middle).otherwise(s["lo"]).alias("lo"), F.when(right, s["hi"]).otherwise(middle - 1).alias("hi")
-        )
 
-    # Once both ends meet, the middle is that place again, whose start is not behind the code.
-    steps = F.sequence(F.lit(1), F.lit(max(1, len(leaves.starts).bit_length())))
-    return F.aggregate(steps, ends, halve, lambda s: s["lo"] - 1)
+def _shares_of(leaf: Column, leaves: Leaves) -> Column:
+    return F.element_at(_constants(leaves.shares), leaf + 1)
 
 
 def with_cells(located: DataFrame, leaves: Leaves) -> DataFrame:
     """Places with ``_leaf`` and ``_share``; rows of a leaf are dealt over its shares by a hash of what they hold."""
     held = [c for c, kind in located.dtypes if "map<" not in kind and "variant" not in kind]
-    leaf = located.withColumn("_leaf", leaf_of(F.col("_code"), leaves))
-    shares = F.element_at(_constants(leaves.shares), F.col("_leaf") + 1)
-    return leaf.withColumn("_share", F.when(shares == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64(*held), shares)).cast("bigint"))
+    leaf = with_leaf(located, leaves, F.col("_code"))
+    shares = _shares_of(F.col("_leaf"), leaves)
+    share = F.when(shares == 1, F.lit(0)).otherwise(F.pmod(F.xxhash64(*held), shares)).cast("bigint")
+    # Never null, and plainly so: else the join would compute it once more in a filter before.
+    return leaf.withColumn("_share", F.coalesce(share, F.lit(0).cast("bigint")))
 
 
 def _covering(centres: DataFrame, leaves: Leaves) -> DataFrame:
@@ -132,13 +132,13 @@ def _covering(centres: DataFrame, leaves: Leaves) -> DataFrame:
     cell = boxed.withColumn("_row", F.explode(rows)).withColumn("_column", F.explode(ends))
     size = F.call_function("shiftleft", F.lit(1).cast("bigint"), 2 * F.col("_down"))
     cell = cell.withColumn("_from", _interleave(F.col("_row"), F.col("_column")) * size).withColumn("_to", F.col("_from") + size - 1)
-    reached = F.sequence(leaf_of(F.col("_from"), leaves), leaf_of(F.col("_to"), leaves))
-    spans = cell.select(*centres.columns, reached.alias("_reached"))
+    ends_at = with_leaf(with_leaf(cell, leaves, F.col("_from"), "_first"), leaves, F.col("_to"), "_last")
+    spans = ends_at.select(*centres.columns, F.sequence("_first", "_last").alias("_reached"))
     # Cells smaller than a leaf meet in it: each centre lists a leaf once.
     own = [F.col(c) for c in centres.columns]
     leaf = spans.groupBy(*own).agg(F.array_distinct(F.flatten(F.collect_list("_reached"))).alias("_reached"))
     leaf = leaf.withColumn("_leaf", F.explode("_reached")).drop("_reached")
-    shares = F.element_at(_constants(leaves.shares), F.col("_leaf") + 1)
+    shares = _shares_of(F.col("_leaf"), leaves)
     return leaf.withColumn("_share", F.explode(F.sequence(F.lit(0).cast("bigint"), shares - 1)))
 
 

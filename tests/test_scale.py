@@ -1,5 +1,6 @@
 """Skewed input, plans and brute-force comparisons."""
 
+import bisect
 import math
 import random
 from functools import partial
@@ -140,6 +141,24 @@ def test_radius_equals_brute_force(spark, radius, own, search):
     assert got == want and want
 
 
+def test_quadtree_leaves_are_found_without_a_row_by_row_search(spark):
+    """The leaf is looked up once per row, not by an interpreted loop that repeats the code of the place at each step."""
+    rng = random.Random(5)
+    starts = [0, *sorted(rng.sample(range(1, quadtree.SIDE**2), 999))]
+    leaves = quadtree.Leaves(starts, [1] * len(starts))
+    codes = [0, quadtree.SIDE**2 - 1, *starts, *[s - 1 for s in starts[1:]], *[s + 1 for s in starts]]
+    coded = spark.createDataFrame([(c,) for c in codes], "_code bigint")
+    found = {r["_code"]: (r["_leaf"], r["_share"]) for r in quadtree.with_cells(coded, leaves).collect()}
+    assert found == {c: (bisect.bisect_right(starts, c) - 1, 0) for c in codes}
+    spots = [(rng.uniform(40, 41), rng.uniform(10, 11)) for _ in range(500)]
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(spots)], "row_key int, latitude double, longitude double")
+    centres = spark.createDataFrame([("a", 40.5, 10.5)], "name string, latitude double, longitude double")
+    around = quadtree.places_around(frame, centres, 9000, None, most=20)
+    plan = around._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan and len(plan) < 50_000
+    assert quadtree.SIDE <= 1 << 26  # codes are whole numbers as doubles
+
+
 def test_quadtree_cells_are_bounded(spark):
     """A third of the places stand in one street, a third at one address; the rest anywhere."""
     rng = random.Random(3)
