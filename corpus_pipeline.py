@@ -27,7 +27,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8): the smallest id, once."""
+    """One document of each group of near copies (five-word shingles, similarity 0.8): the smallest id, once.
+
+    Candidates are SimHash fingerprints within three bits, from two vantage-point trees, and MinHash buckets;
+    the sets themselves are compared after.
+    """
     groups = shingles.similar_groups(docs)
     copies = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     left = docs.join(copies, "doc_id", "left_anti")

@@ -1,9 +1,11 @@
 """Near copies by word shingles: all documents linked by a Jaccard similarity of 0.8 or more, then components.
 
 A text is the set of its runs of five words (ASCII white space apart, A-Z as a-z); one of fewer words has one run, of
-the words it has. Equal sets are one node. MinHash finds candidates: nodes meet in a bucket where all ROWS minima of
+the words it has. Equal sets are one node. A set has a SimHash fingerprint, and the two vantage-point trees of
+``simhash.py`` find all pairs of fingerprints within three bits. These are the closest candidates only, so MinHash adds
+those down to the limit: nodes meet in a bucket where all ROWS minima of
 one of BANDS bands are equal, which a pair of similarity 0.8 misses with probability (1 - 0.8**ROWS)**BANDS = 5e-7.
-Candidates are only gathered into loose groups, so a bucket adds one edge per node, whatever its size. Inside a
+Candidates of both are only gathered into loose groups, so a bucket adds one edge per node, whatever its size. Inside a
 loose group the sets themselves are compared: a search from node to node takes every neighbour there is out of
 those not reached yet, so that links are exact and a large group of near copies costs little more than one pass.
 
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 
 from placemat.llm.blocks import release
 from placemat.llm.components import smallest_reachable
+from placemat.llm.simhash import fingerprint_links, majority, tree_levels
 from placemat.scratch import stage
 
 SHINGLE = 5
@@ -78,28 +81,40 @@ def buckets(hashes: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, node, buckets`` of every row."""
+    """``doc_id, node, fp, buckets`` of every row."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py()) for t in batch.column("text").cast(pa.binary())]
             nodes = pa.array([node_of(s) for s in sets], pa.int64())
+            fps = pa.array(np.array([majority(s) for s in sets], np.uint64).view(np.int64))
             found = [buckets(s) for s in sets]
             cuts = np.cumsum([0, *map(len, found)], dtype=np.int32)
             lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate([*found, np.zeros(0, np.int64)])))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), nodes, lists], ["doc_id", "node", "buckets"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), nodes, fps, lists], ["doc_id", "node", "fp", "buckets"])
         release()
 
     read_columns = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return read_columns.mapInArrow(read, "doc_id long, node long, buckets array<long>")
+    return read_columns.mapInArrow(read, "doc_id long, node long, fp long, buckets array<long>")
+
+
+def fingerprint_edges(distinct: DataFrame) -> DataFrame:
+    """Edges ``a, b`` between nodes that join all whose fingerprints are within three bits; not the empty set."""
+    named = distinct.filter("node != 0").select("node", "fp")
+    held = stage(named.groupBy("fp").agg(F.min("node").alias("first")), "fingerprints")
+    equal = named.join(held, "fp").filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    links = fingerprint_links(held.select("fp"), tree_levels(held.count()))
+    first, second = (held.select(F.col("fp").alias(end), F.col("first").alias(f"{end}_node")) for end in ("a", "b"))
+    near = links.join(first, "a").join(second, "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    return equal.unionByName(near)
 
 
 def loose_groups(distinct: DataFrame) -> DataFrame:
-    """``node, group`` of nodes that share a bucket with another: components of those that do."""
+    """``node, group`` of nodes that share a bucket or nearly a fingerprint with another: components of those that do."""
     placed = distinct.select("node", F.explode("buckets").alias("bucket"))
     ends = placed.groupBy("bucket").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a != z")
     edges = placed.join(ends, "bucket").select("a", F.col("node").alias("b"))
-    reached = smallest_reachable(edges)
+    reached = smallest_reachable(edges.unionByName(fingerprint_edges(distinct)))
     first = reached.select(F.col("smallest").alias("node"), F.col("smallest").alias("group")).distinct()
     return reached.select("node", F.col("smallest").alias("group")).unionByName(first)
 
@@ -162,7 +177,10 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """``doc_id, component_id``: the smallest key that links of similarity LEAST or more reach."""
     found = stage(signatures(docs, key, text), "shingles")
     distinct = stage(
-        found.groupBy("node").agg(F.min("doc_id").alias("first"), F.any_value("buckets").alias("buckets")), "distinct"
+        found.groupBy("node").agg(
+            F.min("doc_id").alias("first"), F.any_value("fp").alias("fp"), F.any_value("buckets").alias("buckets")
+        ),
+        "distinct",
     )
     reached = smallest_reachable(shingle_links(docs, stage(loose_groups(distinct), "loose"), text))
     placed = distinct.join(reached, "node", "left").select("node", "first", F.coalesce("smallest", "node").alias("group"))

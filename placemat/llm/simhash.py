@@ -49,14 +49,16 @@ def simhash(text: bytes | None, shingle: int = SHINGLE) -> int:
     else:
         shingles = list(map(b" ".join, zip(*[words[i:] for i in range(shingle)], strict=False)))
     digest = partial(xxhash.xxh64_intdigest, seed=SEED)
+    return majority(np.fromiter(map(digest, shingles), np.dtype("<u8"), len(shingles)))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The number whose bits are those set in more than half of 64-bit hashes; 0 of none."""
     counts = np.zeros(64, np.int64)
-    for at in range(0, len(shingles), HASHES_AT_ONCE):
-        some = shingles[at : at + HASHES_AT_ONCE]
-        hashes = np.fromiter(map(digest, some), np.dtype("<u8"), len(some))
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(
-            axis=0, dtype=np.int64
-        )
-    return int(np.packbits(2 * counts > len(shingles), bitorder="little").view("<u8")[0])
+    for at in range(0, len(hashes), HASHES_AT_ONCE):
+        some = hashes[at : at + HASHES_AT_ONCE].astype("<u8")
+        counts += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

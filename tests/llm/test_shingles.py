@@ -3,7 +3,7 @@ import random
 import corpus_pipeline
 import pytest
 
-from placemat.llm import shingles
+from placemat.llm import shingles, simhash
 
 
 def runs(text):
@@ -51,6 +51,31 @@ def test_stage_drops_what_is_similar(spark, monkeypatch, cell):
     assert sorted(r.doc_id for r in left) == sorted({*want.values()})
 
 
+def test_fingerprints_find_candidates(spark):
+    """The trees alone, without MinHash, join just the sets whose fingerprints differ by three bits or fewer."""
+    texts, rng = edited(6), random.Random(6)
+    for _ in range(8):
+        long = rng.choices(texts[0].split() + [f"w{i}" for i in range(500)], k=3000)
+        for last in ("x", "y", "z"):
+            texts[len(texts)] = " ".join([*long, last])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    distinct = shingles.signatures(docs).dropDuplicates(["node"])
+    sets = [shingles.shingle_set((t or "").encode()) for t in texts.values()]
+    fps = {shingles.node_of(s): simhash.majority(s) for s in sets if len(s)}
+    want = {frozenset((a, b)) for a in fps for b in fps if a != b and (fps[a] ^ fps[b]).bit_count() <= 3}
+    edges = [(r.a, r.b) for r in shingles.fingerprint_edges(distinct).collect()]
+    assert want and edges
+
+    def components(pairs):
+        label = {n: n for n in fps}
+        while any(label[a] != label[b] for a, b in pairs):
+            for a, b in pairs:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    assert components(edges) == components([tuple(p) for p in want])
+
+
 def test_odd_documents(odd, none):
     got = shingles.similar_groups(odd).collect()
     assert len(got) == odd.count() and {0, 1, 2} <= {r.doc_id for r in got if r.component_id == 0}
