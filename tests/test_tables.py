@@ -74,3 +74,17 @@ def test_grouping_and_joining_buckets_needs_no_exchange(spark):
     joined = table.hint("merge").join(other, "city")
     assert exchanges(joined) == 0 and joined.count() == 20000
     assert table.count() == hot.count()
+
+
+def test_landed_text_is_compressed_in_files_of_bounded_length(spark, monkeypatch):
+    """Keys that repeat in every record do not fill the disk, and no task gets all rows of one that wrote many."""
+    from pathlib import Path
+
+    from registry import inputs
+
+    monkeypatch.setattr(inputs, "RECORDS_PER_FILE", 1500)
+    rows = spark.range(4000).coalesce(1).selectExpr("id AS a_rather_long_name", "cast(id % 7 AS string) AS another_rather_long_name")
+    files = [*Path(inputs.land(rows, "json", "landed-test")).glob("part-*")]
+    assert len(files) == 3 and sum(f.stat().st_size for f in files) < 4000 * 20
+    assert spark.read.schema(rows.schema).json([str(f) for f in files]).exceptAll(rows).count() == 0
+    assert spark.read.schema(rows.schema).json([str(f) for f in files]).count() == 4000
