@@ -21,6 +21,8 @@ SIZE = 3
 LOOKED_UP = 3
 #: A scan is as good when the rarest trigram is in more than this share of the rows.
 MAX_SHARE = 0.2
+#: Postings that a task sorts or groups at once, whatever their number.
+PART_POSTINGS = 1 << 20
 
 # Characters beyond ASCII that equal an ASCII letter when case is ignored, and those letters.
 FOLDED, LETTERS = "\u017f\u212a\u0130\u0131", "skii"
@@ -97,11 +99,17 @@ class NameIndex(NamedTuple):
 
 def write_index(df: DataFrame, path: str, key: str = "row_key", name: str = "name") -> NameIndex:
     """Index the column ``name`` of rows with a unique ``key``. A trigram that all rows have fills several files."""
+    # A text has no more trigrams than letters, so the parts are bounded before any posting is made.
+    rows, letters = df.agg(F.count("*"), F.sum(F.length(name).cast("bigint"))).first()
     postings = df.select(F.explode(trigrams(folded(F.col(name)))).alias("gram"), F.col(key).alias("key"))
-    postings.repartitionByRange("gram", "key").sortWithinPartitions("gram", "key").write.parquet(f"{path}/postings")
+    postings.repartitionByRange(_parts(letters or 0), "gram", "key").sortWithinPartitions("gram", "key").write.parquet(f"{path}/postings")
     stored = df.sparkSession.read.parquet(f"{path}/postings")
     stored.groupBy("gram").agg(F.count("*").alias("keys")).write.parquet(f"{path}/counts")
-    return NameIndex(path, key, df.count())
+    return NameIndex(path, key, rows)
+
+
+def _parts(postings: int) -> int:
+    return max(1, -(-postings // PART_POSTINGS))
 
 
 def candidates(spark: SparkSession, index: NameIndex, pattern: str, max_share: float = MAX_SHARE) -> DataFrame | None:
@@ -117,7 +125,11 @@ def candidates(spark: SparkSession, index: NameIndex, pattern: str, max_share: f
     # Common ones would cost more than they rule out.
     chosen = [g for g in rarest if known.get(g, 0) <= max_share * index.rows]
     postings = spark.read.parquet(f"{index.path}/postings").where(F.col("gram").isin(chosen))
-    return postings.groupBy("key").agg(F.count("*").alias("grams")).where(F.col("grams") == len(chosen)).select("key")
+    if len(chosen) == 1:  # a key stands once with each trigram
+        return postings.select("key")
+    # Dealt by key first: postings lie by trigram, so a count before that would hold every key and save nothing.
+    dealt = postings.repartition(_parts(sum(known.get(g, 0) for g in chosen)), "key")
+    return dealt.groupBy("key").agg(F.count("*").alias("grams")).where(F.col("grams") == len(chosen)).select("key")
 
 
 def search_indexed(df: DataFrame, index: NameIndex, pattern: str = "", max_share: float = MAX_SHARE) -> DataFrame:

@@ -58,3 +58,18 @@ PIECES = st.sampled_from(["a", "b", "ab", "abc", "cab", " ", ".", "a?", "b*", "c
 def test_every_match_has_the_required_trigrams(pattern, text):
     if re.search(pattern, text, re.IGNORECASE):
         assert all(g in text.lower() for g in search.required_trigrams(pattern))
+
+
+def test_parts_of_the_index_and_of_a_search_are_bounded(spark, tmp_path, monkeypatch):
+    """Parts grow with the rows, not with a setting; keys of one trigram are not grouped again."""
+    monkeypatch.setattr(search, "PART_POSTINGS", 500)
+    rows = spark.range(400).selectExpr("id AS row_key", "concat('place ', cast(id AS string), if(id % 9 = 0, ' qrst', '')) AS name")
+    index = search.write_index(rows, str(tmp_path / "index"))
+    assert index.rows == 400
+    stored = spark.read.parquet(f"{index.path}/postings")
+    parts = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert len(parts) >= 7 and max(parts) <= 1000
+    one, several = search.candidates(spark, index, "qrs"), search.candidates(spark, index, "qrst")
+    assert "Aggregate" not in one._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["key"] for r in one.collect()} == {r["key"] for r in several.collect()} == set(range(0, 400, 9))
+    assert one.count() == several.count() == 45
