@@ -78,6 +78,23 @@ def test_crowded_anchors_are_split(spark, monkeypatch, crew):
     assert got(found) == brute(rows, suffix_dedup.WIDTH)
 
 
+def test_anchors_shared_by_chance_reach_no_suffix_array(spark, monkeypatch):
+    """Texts that share sentences, but no 400 bytes in a row, are told apart by hashes alone."""
+    rng = random.Random(3)
+    line = lambda k: "".join(rng.choice("abcdefg ") for _ in range(k))
+    shared = [line(150) for _ in range(4)]
+    rows = [(i, "".join(line(200) + s for s in shared * 3)) for i in range(30)]
+    asked, whole = [], suffix_dedup.piece_repeats
+
+    def counted(pieces, *more):
+        asked.append(pieces.count())
+        return whole(pieces, *more)
+
+    monkeypatch.setattr(suffix_dedup, "piece_repeats", counted)
+    assert got(suffix_dedup.remove_repeats(frame(spark, rows))) == brute(rows, suffix_dedup.WIDTH)
+    assert asked == [0]
+
+
 def test_texts_longer_than_a_chunk(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK", 997)
     rows = passages(40, 2, 5000)
