@@ -88,3 +88,42 @@ def test_landed_text_is_compressed_in_files_of_bounded_length(spark, monkeypatch
     assert len(files) == 3 and sum(f.stat().st_size for f in files) < 4000 * 20
     assert spark.read.schema(rows.schema).json([str(f) for f in files]).exceptAll(rows).count() == 0
     assert spark.read.schema(rows.schema).json([str(f) for f in files]).count() == 4000
+
+
+def bytes_of(df):
+    return df.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0]
+
+
+def test_tables_are_written_small_unless_the_session_names_a_codec(spark):
+    codec = "spark.sql.parquet.compression.codec"
+    assert spark.conf.get(codec, None) is None
+    rows = frame(spark, 20000, address=F.concat(F.col("id") * 7919, F.lit(" Main St")), location=F.concat(F.lit("Location "), F.col("id")))
+    sizes = {}
+    for name in (None, "snappy"):
+        if name:
+            spark.conf.set(codec, name)
+        try:
+            table = tables.write_overwrite(rows, f"codec_{name or 'unset'}", fresh_path(spark, "codec"))
+        finally:
+            spark.conf.unset(codec)
+        assert table.exceptAll(rows).count() == 0 and table.count() == 20000
+        sizes[name] = bytes_of(table)
+    assert sizes[None] < 0.7 * sizes["snappy"]
+
+
+def test_the_batch_run_writes_few_bytes_for_an_order(spark, small):
+    """Landed responses and the table together, at a size where no dictionary holds the texts."""
+    from pathlib import Path
+
+    from __spark_entry__ import QUERIES
+    from registry import inputs
+
+    folder, orders = fresh_path(spark, "orders"), inputs.table_of(spark, small, "orders")
+    shifted = {"o_orderkey": F.col("o_orderkey") + F.col("id") * 1500, "o_custkey": F.col("o_custkey") + F.col("id") * 150}
+    copies = orders.crossJoin(spark.range(200)).withColumns(shifted).drop("id")
+    copies.coalesce(1).write.parquet(f"{folder}/orders.parquet")
+    table = QUERIES["e1_batch_table"].build(spark, folder)
+    label, path = inputs._landed[-1][1::2]
+    landed = sum(f.stat().st_size for f in Path(path).glob("part-*"))
+    assert label == "business" and landed > 0 and table.count() == 600_000
+    assert landed + bytes_of(table) < 33 * 300_000
